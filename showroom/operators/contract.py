@@ -239,18 +239,18 @@ def screen_all(
 
 
 def replay_screening(df: DataFrame, report: dict) -> DataFrame:
-    """Apply a saved report, nested or flat, to another table."""
+    """Apply a saved report, nested or flat, to another table. Indicators are built before their
+    source may be dropped, so that every table gets the columns the training table got."""
     nested = [report[k] for k in ("raw_schema_report", "post_feature_screening_report") if report.get(k)]
     for part in nested or [report]:
-        drops = [
-            c for key in ("dropped_high_missing", "dropped_constant", "dropped_weak_semantic")
-            for c in part.get(key, [])
-        ]
-        df = df.drop(*drops)
         marks = {
             m: named(m.removesuffix(v.INDICATOR_SUFFIX)).isNull().cast("int")
             for m in part.get("added_missing_indicators", [])
             if m.removesuffix(v.INDICATOR_SUFFIX) in df.columns and m not in df.columns
         }
         df = df.withColumns(marks) if marks else df
+        df = df.drop(*[
+            c for key in ("dropped_high_missing", "dropped_constant", "dropped_weak_semantic")
+            for c in part.get(key, [])
+        ])
     return df
