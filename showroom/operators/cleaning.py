@@ -12,7 +12,8 @@ from showroom import vocab as v
 from showroom.functions.cells import named
 from showroom.operators.contract import column_facts
 from showroom.operators.ordering import exact_quantiles, unpivot_numbers
-from showroom.operators.profiling import distinct_counts, text_columns
+from showroom.operators.profiling import distinct_counts, duplicate_summary, text_columns
+from showroom.session import cut_lineage
 
 MIN_VALUES_FOR_SKEW = 10
 CHECKED_NUMBERS = (T.LongType, T.IntegerType, T.DoubleType, T.FloatType)
@@ -137,9 +138,11 @@ def clean(
         drops += same
     out = df.drop(*drops)
     if duplicates:
-        out = drop_duplicates(out)
-    log.rows_after = out.count() if duplicates else log.rows_before
-    log.dropped_rows = log.rows_before - log.rows_after
+        # The cheap fingerprint pass decides whether the wide shuffle is needed at all.
+        log.dropped_rows = duplicate_summary(out).first()["duplicate_rows"]
+        if log.dropped_rows:
+            out = cut_lineage(drop_duplicates(out))
+    log.rows_after = log.rows_before - log.dropped_rows
     log.columns_after = len(out.columns)
     numbers, texts = checked_numbers(out), text_columns(out)
     if outliers and numbers:
