@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from showroom import vocab as v
+from showroom.session import broadcast_checked
 from showroom.functions.cells import (
     add_all, any_of, as_time, flag, hours_between, is_blank, is_text, is_time, named, number, sure,
 )
@@ -54,8 +55,7 @@ def fit_heat(df: DataFrame, city: str = v.CITY, car: str = v.CAR) -> DataFrame:
 
 
 def add_heat(df: DataFrame, heat: DataFrame, city: str = v.CITY, car: str = v.CAR, name: str = "城市车型热度") -> DataFrame:
-    """Fitted heat of the row's pair, 0 for a pair not seen. The optimizer broadcasts the table
-    when it is small; otherwise the join splits hot pairs."""
+    """Fitted heat of the row's pair, 0 for a pair not seen."""
     table = heat.select(F.col("heat_city").alias("__city"), F.col("heat_car").alias("__car"), F.col("heat").alias("__heat"))
     joined = df.join(
         table, (_or_unknown(city) == F.col("__city")) & (_or_unknown(car) == F.col("__car")), "left")
@@ -96,10 +96,10 @@ def transform(df: DataFrame, heat: DataFrame | None = None, time_columns: list[s
     new = interaction_columns(out)
     out = out.withColumns(new) if new else out
     if v.CITY in df.columns and v.CAR in df.columns:
-        out = add_heat(out, heat if heat is not None else fit_heat(df))
+        out = add_heat(out, heat if heat is not None else broadcast_checked(fit_heat(df)))
     return out
 
 
 def fit_transform(df: DataFrame, **options) -> tuple[DataFrame, DataFrame | None]:
-    heat = fit_heat(df) if v.CITY in df.columns and v.CAR in df.columns else None
+    heat = broadcast_checked(fit_heat(df)) if v.CITY in df.columns and v.CAR in df.columns else None
     return transform(df, heat, **options), heat

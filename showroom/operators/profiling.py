@@ -10,6 +10,7 @@ from showroom import vocab as v
 from showroom.functions.cells import is_number, named
 from showroom.operators.contract import EXPRESSIONS_PER_PASS
 from showroom.operators.ordering import unpivot_texts, value_counts
+from showroom.session import broadcast_checked
 
 HIGH_MISSING, MEDIUM_MISSING = 50.0, 10.0
 IMBALANCE_LIMIT = 10.0
@@ -43,7 +44,7 @@ def duplicate_summary(df: DataFrame) -> DataFrame:
     mark = F.xxhash64(*[named(c) for c in df.columns]).alias("__mark")
     marked = df.withColumn("__mark", mark)
     groups = marked.groupBy("__mark").agg(F.count("*").alias("n"))
-    repeated = groups.where("n > 1").select("__mark")
+    repeated = broadcast_checked(groups.where("n > 1").select("__mark"))
     suspects = marked.join(repeated, "__mark", "left_semi")
     distinct_suspects = suspects.groupBy(*[named(c) for c in df.columns]).agg(F.lit(1).alias("one"))
     singles = groups.agg(

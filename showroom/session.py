@@ -6,6 +6,9 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 200_000
 
 
 def local_session(cores: str = "*", app: str = "showroom", **extra: str) -> SparkSession:
@@ -54,3 +57,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder so that later passes read the same rows."""
     ensure_shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Write a small side once, count it, and broadcast it only if it is small.
+
+    Knowing the size before the plan is made keeps the wide side of the join from being shuffled
+    for nothing; beyond the limit the join runs by key as usual.
+    """
+    table = cut_lineage(df)
+    small = table.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(table) if small else table
