@@ -131,3 +131,8 @@ def lookup(mapping: dict, key: Column, default: Column | None = None) -> Column:
 
 def half_even(value: Column, digits: int) -> Column:
     return F.bround(value, digits)
+
+
+def one_row(df: DataFrame) -> Column:
+    """A one-row table as a struct value for use in other queries."""
+    return df.select(F.struct("*").alias("row")).scalar()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from showroom import vocab as v
 from showroom.functions.actions import lead_actions
-from showroom.functions.cells import named, number_or_zero
+from showroom.functions.cells import named, number_or_zero, one_row
 from showroom.functions.ratings import hab_rating
 from showroom.operators import classes as cl
 from showroom.operators.ranking import auc, class_ranking, top_k_metrics
@@ -117,23 +117,19 @@ def comparison_row(df: DataFrame, name: str, role: str, actual: str, predicted:
     metrics = cl.score_pairs(pairs).select("accuracy", "balanced_accuracy", "mcc", "macro_f1")
     recall = cl.per_class(pairs).agg(
         F.coalesce(F.max(F.when(F.col("class") == "B", F.col("recall"))), F.lit(0.0)).alias("b_recall"))
-    # Every table joined here has one row.
-    out = metrics.join(F.broadcast(recall))
+    out = metrics.withColumn("b_recall", one_row(recall)["b_recall"])
     if with_kpis:
-        out = out.join(F.broadcast(business_kpis(df, predicted)))
-        passed = monotonicity(bucket_summary(df, predicted))
-        out = out.join(F.broadcast(passed.select(F.col("passed").alias("monotonicity_passed"), F.col("metric").alias("monotonicity_metric"))))
+        out = out.withColumn("__k", one_row(business_kpis(df, predicted))).select("*", "__k.*").drop("__k")
+        passed = one_row(monotonicity(bucket_summary(df, predicted)))
+        out = out.withColumns({"monotonicity_passed": passed["passed"], "monotonicity_metric": passed["metric"]})
     return out.select(F.lit(name).alias("model_name"), F.lit(role).alias("role"), "*")
 
 
 def compare_models(rows: Sequence[DataFrame], baseline_role: str = "baseline") -> DataFrame:
     """One row per model with the differences to the baseline."""
     table = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
-    base = table.where(F.col("role") == baseline_role).limit(1).select(*[F.col(c).alias(f"__base_{c}") for c in COMPARED])
-    # The baseline is one row, or none.
-    joined = table.join(F.broadcast(base), F.lit(True), "left")
-    deltas = {f"delta_vs_baseline_{c}": F.col(c) - F.col(f"__base_{c}") for c in COMPARED}
-    return joined.withColumns(deltas).drop(*[f"__base_{c}" for c in COMPARED])
+    base = one_row(table.where(F.col("role") == baseline_role).select(*COMPARED).limit(1))
+    return table.withColumns({f"delta_vs_baseline_{c}": F.col(c) - base[c] for c in COMPARED})
 
 
 def recommend(table: DataFrame, tolerance: float = 0.01) -> DataFrame:
@@ -149,8 +145,9 @@ def recommend(table: DataFrame, tolerance: float = 0.01) -> DataFrame:
 def ensemble_evaluation(df: DataFrame, label: str, score: str, row_id: str, ks: Sequence[int]) -> DataFrame:
     """AUC, accuracy at 0.5 and the top-k table of one model of an ensemble."""
     right = (named(score) >= 0.5).cast("int") == named(label).cast("int")
-    one = df.agg(F.avg(right.cast("double")).alias("accuracy")).join(F.broadcast(auc(df, label, score)))
-    return top_k_metrics(df, label, score, row_id, ks).join(F.broadcast(one))
+    accuracy = df.agg(F.avg(right.cast("double")).alias("accuracy"))
+    return top_k_metrics(df, label, score, row_id, ks).withColumns({
+        "accuracy": one_row(accuracy)["accuracy"], "auc": one_row(auc(df, label, score))["auc"]})
 
 
 def comparator_bundle(

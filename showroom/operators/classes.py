@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from showroom import vocab as v
-from showroom.functions.cells import named
+from showroom.functions.cells import named, one_row
 from showroom.operators.policy import ordered_labels
 
 
@@ -115,8 +115,7 @@ def binary_metrics(df: DataFrame, label: str, score: str, threshold: float = 0.5
     out = counts.select(
         (F.col("right") / F.col("n")).alias("accuracy"), precision.alias("precision"), recall.alias("recall"),
         _safe(2 * F.col("tp"), F.col("predicted") + F.col("actual")).alias("f1"))
-    # Two one-row tables.
-    return out.join(F.broadcast(auc(df, label, score)))
+    return out.withColumn("auc", one_row(auc(df, label, score))["auc"])
 
 
 # --- threshold searches ---------------------------------------------------------------

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from showroom import vocab as v
-from showroom.functions.cells import named
+from showroom.functions.cells import named, one_row
 from showroom.operators.ordering import exact_quantiles, global_rank, running_totals
 
 K_VALUES = (100, 500, 1000)
@@ -68,9 +68,8 @@ def top_k_metrics(df: DataFrame, label: str, score: str, row_id: str, ks: Sequen
     totals = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(named(label).cast("bigint")), F.lit(0)).alias("positives"))
     rows = F.explode(F.array(*[
         F.struct(F.lit(k).cast("bigint").alias("k"), F.col(f"h{k}").alias("hit_count")) for k in ks]))
-    # Two one-row tables meet here.
-    out = hits.withColumn("one", F.lit(1)).join(totals.withColumn("one", F.lit(1)), "one")
-    out = out.select("n", "positives", rows.alias("r")).select("n", "positives", "r.*").where("k <= n")
+    out = hits.withColumn("t", one_row(totals)).select("t.n", "t.positives", rows.alias("r"))
+    out = out.select("n", "positives", "r.*").where("k <= n")
     expected = F.col("positives") / F.col("n")
     rate = F.col("hit_count") / F.col("k")
     return out.select(
@@ -88,9 +87,8 @@ def decile_lift(df: DataFrame, label: str, score: str, row_id: str) -> DataFrame
     totals = ranked.agg(F.count("*").alias("n"), F.sum("y").alias("positives"))
     size = F.floor(F.col("n") / 10)
     place = F.coalesce(F.least(F.floor(F.try_divide(F.col("rank") - 1, size)), F.lit(9).cast("bigint")), F.lit(9).cast("bigint"))
-    # The totals are one row.
     groups = (
-        ranked.join(F.broadcast(totals))
+        ranked.withColumn("t", one_row(totals)).select("*", "t.n", "t.positives")
         .groupBy((place + 1).alias("decile"), "n", "positives")
         .agg(F.count("*").alias("count"), F.sum("y").alias("hit_count"))
     )
@@ -125,7 +123,7 @@ def compare_rankings(
     rows = both.agg(*[c.alias(f"c{i}") for i, c in enumerate(cells)])
     rows = rows.select(F.explode(F.array(*[f"c{i}" for i in range(len(ks))])).alias("r")).select("r.*")
     size = df.agg(F.count("*").alias("n"))
-    rows = rows.join(F.broadcast(size)).where("k <= n").drop("n")
+    rows = rows.where(F.col("k") <= one_row(size)["n"])
     gain = F.try_divide(F.col("model_hits") - F.col("baseline_hits"), F.col("baseline_hits"))
     return rows.withColumn("improvement", F.coalesce(gain, F.lit(0.0)))
 
@@ -135,10 +133,10 @@ def quantile_bins(df: DataFrame, label: str, probability: str, score: str, bins:
     closed on the right and the lowest edge belongs to the first bin."""
     shares = [i / bins for i in range(bins + 1)]
     edges = exact_quantiles(df, [score], shares).agg(F.array_sort(F.collect_set("quantile")).alias("edges"))
-    # One row holding at most bins + 1 numbers.
     value = named(score).cast("double")
-    below = F.size(F.filter(F.col("edges"), lambda e: e < value))
-    placed = df.where(value.isNotNull()).join(F.broadcast(edges)).withColumn("bin", F.greatest(below, F.lit(1)))
+    below = F.size(F.filter(F.col("__edges"), lambda e: e < value))
+    placed = df.where(value.isNotNull()).withColumn("__edges", one_row(edges)["edges"])
+    placed = placed.withColumn("bin", F.greatest(below, F.lit(1)))
     return placed.groupBy("bin").agg(
         F.count("*").alias("count"),
         F.avg(named(label).cast("double")).alias("actual_rate"),
