@@ -112,7 +112,7 @@ WITH lines AS (
          min(l_shipdate) FILTER (l_returnflag = 'R') AS driven,
          max(l_shipdate) FILTER (l_linestatus = 'F') AS ordered,
          count(*) AS calls, sum(l_quantity) AS call_seconds,
-         arg_min(l_partkey, l_linenumber) AS partkey
+         arg_min(l_partkey, CAST(l_linenumber AS BIGINT) * 1000000000 + l_partkey) AS partkey
   FROM lineitem GROUP BY l_orderkey),
 leads AS (
   SELECT o_orderkey AS id, '138' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS phone,

@@ -21,6 +21,7 @@ def local_session(cores: str = "*", app: str = "showroom", **extra: str) -> Spar
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("SHOWROOM_DRIVER_MEMORY", "8g"))
     )
     for key, value in extra.items():
