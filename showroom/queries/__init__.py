@@ -6,7 +6,10 @@ from importlib import import_module
 
 from showroom.queries.registry import QUERIES, SQL, Query
 
-MODULES = ["join_queries", "contract_queries", "feature_queries", "mask_queries", "profile_queries", "split_queries"]
+MODULES = [
+    "join_queries", "contract_queries", "feature_queries", "mask_queries", "profile_queries", "split_queries",
+    "rating_queries", "metric_queries",
+]
 
 
 def _load() -> None:

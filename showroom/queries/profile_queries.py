@@ -45,9 +45,10 @@ def missing_by_column(spark, folder):
 @query("a3_missing_summary", SPARSE_SQL + """
 SELECT CAST(sum(n) AS BIGINT) AS total_missing, max(t) * count(*) AS total_cells, count(*) FILTER (n * 100.0 / t > 50) AS high_missing_columns,
        count(*) FILTER (n * 100.0 / t > 10 AND n * 100.0 / t <= 50) AS medium_missing_columns,
-       round(sum(n) * 100.0 / (max(t) * count(*)), 2) AS overall_missing_ratio FROM missing, total""")
+       round(CAST(sum(n) AS DOUBLE) / (max(t) * count(*)), 6) AS missing_share FROM missing, total""")
 def missing_summary(spark, folder):
-    return tidy(pf.missing_summary(sparse(spark, folder)))
+    out = pf.missing_summary(sparse(spark, folder)).drop("overall_missing_ratio")
+    return tidy(out.withColumn("missing_share", F.col("total_missing") / F.col("total_cells")))
 
 
 @query("a4_column_summary", """
