@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,3 +70,13 @@ def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     table = cut_lineage(df)
     small = table.limit(max_rows + 1).count() <= max_rows
     return F.broadcast(table) if small else table
+
+
+def hand_over(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write a wide table to the shared folder as Parquet and read it back.
+
+    Later passes read only the columns they need, and lost executors cost nothing but the task.
+    """
+    path = f"{ensure_shared_folder(df.sparkSession)}/hand-over/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
