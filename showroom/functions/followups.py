@@ -21,14 +21,21 @@ FEATURES = [
 ]
 
 
-def parse_records(text: Column) -> Column:
-    """Array of records. A lone object is one record; an empty object, bad text,
+def usable_records(parsed: Column, text: Column) -> Column:
+    """Array of records from parsed JSON. A lone object is one record; an empty object, bad text,
     a blank cell and a list holding a non-object give an empty array."""
-    records = F.from_json(text, T.ArrayType(RECORD))
-    broken = F.exists(records, lambda r: r.isNull())
+    broken = F.exists(parsed, lambda r: r.isNull())
     empty_object = text.rlike(r"^\s*\{\s*\}\s*$")
     nothing = F.array().cast(T.ArrayType(RECORD))
-    return F.when(records.isNull() | empty_object | sure(broken), nothing).otherwise(records)
+    return F.when(parsed.isNull() | empty_object | sure(broken), nothing).otherwise(parsed)
+
+
+def with_records(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Append the records of a text column. The parsed value is a column of its own, because it is
+    read more than once and parsing is the costly part."""
+    text = named(column).cast("string")
+    parsed = df.withColumn("__parsed", F.from_json(text, T.ArrayType(RECORD)))
+    return parsed.withColumn(name, usable_records(F.col("__parsed"), text)).drop("__parsed")
 
 
 def _filled(records: Column, field: str) -> Column:
@@ -105,6 +112,6 @@ def add_followup_features(
     names = collision_safe_names(df.columns, FEATURES)
     parsed = "__records"
     features = followup_columns(F.col(parsed))
-    out = df.withColumn(parsed, parse_records(named(column).cast("string")))
+    out = with_records(df, column, parsed)
     out = out.withColumns({names[f]: c for f, c in features.items() if f in names}).drop(parsed)
     return out.drop(column) if drop_source else out

@@ -10,9 +10,8 @@ from showroom.functions import status
 from showroom.functions.followups import add_followup_features
 from showroom.operators import cleaning, contract as ct, policy, profiling, splits
 from showroom.plans.lead_view import LEADS_SQL, base, leads, table
-from showroom.queries.registry import query, tidy
+from showroom.queries.registry import lead_id, query, tidy
 
-ID = F.col(v.LEAD_ID).alias("id")
 
 
 def _names(spark, rows, schema="item string, value string"):
@@ -37,7 +36,7 @@ def alias_contract(spark, folder):
     out, report = ct.apply_alias_contract(raw)
     assert report.filled_aliases == {"客户性别_备用": "客户性别", "历史订单次数_备用": "历史订单次数"}
     assert report.applied_aliases == {"预算区间(购车预算)": "预算区间"}
-    return tidy(out.select(ID, F.col("客户性别").alias("gender"), F.col("预算区间").alias("budget"), F.col("历史订单次数").alias("orders")))
+    return tidy(out.select(lead_id(), F.col("客户性别").alias("gender"), F.col("预算区间").alias("budget"), F.col("历史订单次数").alias("orders")))
 
 
 @query("p2_normalised_names", 'SELECT o_orderkey AS order_key, o_custkey AS customer_id, o_orderstatus AS "客户ID_店端" FROM orders')
@@ -173,7 +172,7 @@ def screening_replay(spark, folder):
     df = wide(spark, folder)
     _, report = ct.screen_all(df, v.RATING_RESULT)
     out = ct.replay_screening(df, report)
-    return tidy(out.select(ID, F.col("客户是否主动询问购车权益_缺失").alias("marked"), F.lit(len(out.columns)).alias("columns")))
+    return tidy(out.select(lead_id(), F.col("客户是否主动询问购车权益_缺失").alias("marked"), F.lit(len(out.columns)).alias("columns")))
 
 
 @query("p15_leakage_residual", LEADS_SQL + """
@@ -200,7 +199,7 @@ def driven_leads(spark, folder):
 SELECT id, rating FROM leads WHERE rating IS NOT NULL""")
 def known_target(spark, folder):
     df = base(spark, folder).transform(lb.outcome_labels)
-    return tidy(policy.drop_unknown(df, v.RATING_BEFORE_DRIVE).select(ID, F.col(v.RATING_BEFORE_DRIVE).alias("rating")))
+    return tidy(policy.drop_unknown(df, v.RATING_BEFORE_DRIVE).select(lead_id(), F.col(v.RATING_BEFORE_DRIVE).alias("rating")))
 
 
 @query("f3_effective_labels", LEADS_SQL + """
@@ -208,13 +207,13 @@ SELECT id, rating FROM leads WHERE rating IN ('H', 'A', 'B')""")
 def effective_labels(spark, folder):
     df = base(spark, folder)
     rule = policy.build_policy(df, v.RATING_RESULT, mode="hab")
-    return tidy(policy.keep_effective(df, v.RATING_RESULT, rule).select(ID, F.col(v.RATING_RESULT).alias("rating")))
+    return tidy(policy.keep_effective(df, v.RATING_RESULT, rule).select(lead_id(), F.col(v.RATING_RESULT).alias("rating")))
 
 
 @query("f4_test_isolation", LEADS_SQL + """
 SELECT id FROM leads WHERE created >= TIMESTAMP '1997-01-01'""")
 def test_isolation(spark, folder):
-    return tidy(splits.isolate_test(base(spark, folder), {"mode": "oot", "valid_end": "1997-01-01"}).select(ID))
+    return tidy(splits.isolate_test(base(spark, folder), {"mode": "oot", "valid_end": "1997-01-01"}).select(lead_id()))
 
 
 @query("j4_recorded_test_ids", LEADS_SQL + """
@@ -222,7 +221,7 @@ SELECT id, phone FROM leads WHERE id IN (SELECT l_orderkey FROM lineitem WHERE l
 def recorded_test_ids(spark, folder):
     recorded = table(spark, folder, "lineitem").where("l_returnflag = 'A'").select(F.col("l_orderkey").alias(v.LEAD_ID))
     out = splits.isolate_test(base(spark, folder), {"mode": "random", "id_column": v.LEAD_ID}, recorded)
-    return tidy(out.select(ID, F.col(v.PHONE).alias("phone")))
+    return tidy(out.select(lead_id(), F.col(v.PHONE).alias("phone")))
 
 
 def status_leads(spark, folder):
@@ -251,19 +250,19 @@ FROM leads)
 @query("f5_ordered_status", STATUS_SQL + "SELECT id, is_ordered FROM status")
 def ordered_status(spark, folder):
     df = status_leads(spark, folder)
-    return df.select(ID, status.is_ordered(df).alias("is_ordered"))
+    return df.select(lead_id(), status.is_ordered(df).alias("is_ordered"))
 
 
 @query("f6_driven_status", STATUS_SQL + "SELECT id, is_driven FROM status")
 def driven_status(spark, folder):
     df = status_leads(spark, folder)
-    return df.select(ID, status.is_driven(df).alias("is_driven"))
+    return df.select(lead_id(), status.is_driven(df).alias("is_driven"))
 
 
 @query("f7_invalid_status", STATUS_SQL + "SELECT id, is_invalid FROM status")
 def invalid_status(spark, folder):
     df = status_leads(spark, folder)
-    return df.select(ID, status.is_invalid(df).alias("is_invalid"))
+    return df.select(lead_id(), status.is_invalid(df).alias("is_invalid"))
 
 
 LINES = ["l_returnflag", "l_linestatus", "l_quantity", "l_discount"]

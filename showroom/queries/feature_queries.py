@@ -9,9 +9,8 @@ from showroom.functions import followups as fu
 from showroom.functions import labels as lb
 from showroom.operators import features as ft, policy
 from showroom.plans.lead_view import LEADS_SQL, base, leads, table
-from showroom.queries.registry import query, tidy
+from showroom.queries.registry import lead_id, query, tidy
 
-ID = F.col(v.LEAD_ID).alias("id")
 
 
 def _flag_sql(expr, name):
@@ -31,7 +30,7 @@ ARRIVE, DRIVE, ORDER = "(epoch(arrived) - epoch(created))", "(epoch(driven) - ep
 def window_labels(spark, folder):
     out = leads(spark, folder, "lines").transform(lb.window_labels)
     return tidy(out.select(
-        ID, *[F.col(f"到店标签_{n}天").alias(f"arrive_{n}") for n in (7, 14, 30)],
+        lead_id(), *[F.col(f"到店标签_{n}天").alias(f"arrive_{n}") for n in (7, 14, 30)],
         *[F.col(f"试驾标签_{n}天").alias(f"drive_{n}") for n in (7, 14, 21, 30)]))
 
 
@@ -40,14 +39,14 @@ SELECT id, coalesce(rating, 'Unknown') AS target, CAST(ordered IS NOT NULL AS BI
        CAST(ordered IS NOT NULL AS BIGINT) AS final FROM leads""")
 def outcome_labels(spark, folder):
     out = leads(spark, folder, "lines").transform(lb.outcome_labels)
-    return tidy(out.select(ID, F.col(v.RATING_BEFORE_DRIVE).alias("target"), F.col("成交标签").alias("deal"), F.col("is_final_ordered").alias("final")))
+    return tidy(out.select(lead_id(), F.col(v.RATING_BEFORE_DRIVE).alias("target"), F.col("成交标签").alias("deal"), F.col("is_final_ordered").alias("final")))
 
 
 @query("c3_order_after_drive", LEADS_SQL + "SELECT id, " + ", ".join(
     _flag_sql(_within(ORDER, n), f"order_{n}") for n in (7, 14, 21)) + f", round({ORDER} / 86400.0, 6) AS days FROM leads")
 def order_after_drive(spark, folder):
     out = leads(spark, folder, "lines").transform(lb.order_after_drive_labels)
-    return tidy(out.select(ID, *[F.col(f"下订标签_{n}天").alias(f"order_{n}") for n in (7, 14, 21)], F.col("试驾后下订天数差").alias("days")))
+    return tidy(out.select(lead_id(), *[F.col(f"下订标签_{n}天").alias(f"order_{n}") for n in (7, 14, 21)], F.col("试驾后下订天数差").alias("days")))
 
 
 @query("c4_drive_date_labels", LEADS_SQL + """, d AS (SELECT id, date_diff('day', CAST(created AS DATE), CAST(driven AS DATE)) AS days FROM leads)
@@ -57,7 +56,7 @@ FROM d""")
 def drive_date_labels(spark, folder):
     out = leads(spark, folder, "lines").transform(lb.drive_date_labels)
     return tidy(out.select(
-        ID, F.col("试驾天数差").alias("days"), *[F.col(f"label_{n}天内试驾").alias(f"label_{n}") for n in (7, 14, 21)],
+        lead_id(), F.col("试驾天数差").alias("days"), *[F.col(f"label_{n}天内试驾").alias(f"label_{n}") for n in (7, 14, 21)],
         F.col("label_OHAB").alias("grade")))
 
 
@@ -65,14 +64,14 @@ def drive_date_labels(spark, folder):
 SELECT id, CAST(days AS BIGINT) AS days, """ + ", ".join(_flag_sql(f"days BETWEEN 0 AND {n}", f"order_{n}") for n in (7, 14, 21)) + " FROM d")
 def order_date_labels(spark, folder):
     out = leads(spark, folder, "lines").transform(lb.order_date_labels)
-    return tidy(out.select(ID, F.col("下订天数差").alias("days"), *[F.col(f"下订标签_{n}天").alias(f"order_{n}") for n in (7, 14, 21)]))
+    return tidy(out.select(lead_id(), F.col("下订天数差").alias("days"), *[F.col(f"下订标签_{n}天").alias(f"order_{n}") for n in (7, 14, 21)]))
 
 
 @query("c6_creation_time", LEADS_SQL + """
 SELECT id, CAST(isodow(created) AS BIGINT) AS weekday, CAST(hour(created) AS BIGINT) AS hour FROM leads""")
 def creation_time(spark, folder):
     out = base(spark, folder).transform(lb.creation_time_features)
-    return tidy(out.select(ID, F.col("线索创建星期几").alias("weekday"), F.col("线索创建小时").alias("hour")))
+    return tidy(out.select(lead_id(), F.col("线索创建星期几").alias("weekday"), F.col("线索创建小时").alias("hour")))
 
 
 @query("c7_time_parts", LEADS_SQL + """
@@ -82,7 +81,7 @@ def time_parts(spark, folder):
     out = ft.time_parts(base(spark, folder))
     t = v.FIRST_TOUCH
     return tidy(out.select(
-        ID, F.col(f"{t}_day_of_week").alias("weekday"), F.col(f"{t}_hour").alias("hour"), F.col(f"{t}_is_weekend").alias("weekend")))
+        lead_id(), F.col(f"{t}_day_of_week").alias("weekday"), F.col(f"{t}_hour").alias("hour"), F.col(f"{t}_is_weekend").alias("weekend")))
 
 
 @query("c8_numbers", """
@@ -103,14 +102,14 @@ SELECT id, round(hours, 6) AS hours, CASE WHEN coalesce(hours, -1) <= -1 THEN 'n
 def response(spark, folder):
     df = base(spark, folder)
     new = ft.interaction_columns(df)
-    return tidy(df.select(ID, new["首触响应时长_小时"].alias("hours"), new["响应及时性"].alias("band")))
+    return tidy(df.select(lead_id(), new["首触响应时长_小时"].alias("hours"), new["响应及时性"].alias("band")))
 
 
 @query("c11_channel_combination", LEADS_SQL + """
 SELECT id, coalesce(channel1, '未知') || '_' || coalesce(channel2, '未知') AS combination FROM leads""")
 def channel_combination(spark, folder):
     df = leads(spark, folder, "place")
-    return tidy(df.select(ID, ft.interaction_columns(df)["渠道组合"].alias("combination")))
+    return tidy(df.select(lead_id(), ft.interaction_columns(df)["渠道组合"].alias("combination")))
 
 
 @query("a18_city_car_heat", LEADS_SQL + """
@@ -125,7 +124,7 @@ SELECT id, coalesce(heat, 0) AS heat FROM leads LEFT JOIN heat ON hc = coalesce(
 def heat_lookup(spark, folder):
     df = leads(spark, folder, "place", "car")
     heat = ft.broadcast_checked(ft.fit_heat(df.where(F.col(v.CREATED) < "1996-01-01")))
-    return tidy(ft.add_heat(df, heat).select(ID, F.col("城市车型热度").alias("heat")))
+    return tidy(ft.add_heat(df, heat).select(lead_id(), F.col("城市车型热度").alias("heat")))
 
 
 @query("c13_c14_calls", LEADS_SQL + """
@@ -134,7 +133,7 @@ SELECT id, round(coalesce(call_seconds / nullif(calls, 0), 0), 6) AS mean_second
 def calls(spark, folder):
     df = leads(spark, folder, "lines")
     new = ft.interaction_columns(df)
-    return tidy(df.select(ID, new["平均通话时长_派生"].alias("mean_seconds"), new["有效通话"].alias("effective")))
+    return tidy(df.select(lead_id(), new["平均通话时长_派生"].alias("mean_seconds"), new["有效通话"].alias("effective")))
 
 
 @query("c15_semantic_labels", LEADS_SQL + """
@@ -146,7 +145,7 @@ SELECT id, CAST(coalesce(ask_time <> '', false) OR coalesce(ask_benefit <> '', f
 def semantic_labels(spark, folder):
     df = base(spark, folder)
     new = ft.interaction_columns(df)
-    return tidy(df.select(ID, new["AI语义标签可用"].alias("available"), new["语义标签命中数"].alias("hits")))
+    return tidy(df.select(lead_id(), new["AI语义标签可用"].alias("available"), new["语义标签命中数"].alias("hits")))
 
 
 @query("c16_followups_available", """
@@ -169,14 +168,14 @@ def fitted_features(spark, folder):
     _, heat = ft.fit_transform(df.where(F.col(v.CREATED) < "1996-01-01"))
     out = ft.transform(df.where(F.col(v.CREATED) >= "1996-01-01"), heat)
     return tidy(out.select(
-        ID, F.col("城市车型热度").alias("heat"), F.col("线索创建时间_day_of_week").alias("weekday"), F.col("平均通话时长_派生").alias("mean_seconds")))
+        lead_id(), F.col("城市车型热度").alias("heat"), F.col("线索创建时间_day_of_week").alias("weekday"), F.col("平均通话时长_派生").alias("mean_seconds")))
 
 
 @query("c18_stage_labels", LEADS_SQL + """
 SELECT id, CASE WHEN rating = 'H' THEN 'H' ELSE '非H' END AS stage1, CASE WHEN rating <> 'H' THEN rating END AS stage2 FROM leads""")
 def stage_labels(spark, folder):
     df = base(spark, folder)
-    one = df.select(ID, policy.stage_one_label(F.col(v.RATING_RESULT)).alias("stage1"))
+    one = df.select(lead_id(), policy.stage_one_label(F.col(v.RATING_RESULT)).alias("stage1"))
     two = policy.stage_two_rows(df, v.RATING_RESULT).select(F.col(v.LEAD_ID).alias("id"), F.col("stage2_label").alias("stage2"))
     return tidy(one.join(two, "id", "left"))
 
@@ -189,7 +188,7 @@ def label_policy(spark, folder):
     df = base(spark, folder).where((F.col(v.RATING_RESULT) != "O") | (k % 1000 == 0))
     rule = policy.build_policy(df, v.RATING_RESULT)
     return tidy(policy.keep_effective(policy.apply_policy(df, v.RATING_RESULT, rule), v.RATING_RESULT, rule).select(
-        ID, F.col(v.RATING_RESULT).alias("label")))
+        lead_id(), F.col(v.RATING_RESULT).alias("label")))
 
 
 # --- follow-up records: every line of a conversation turn is one record of its lead ---------

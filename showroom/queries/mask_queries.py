@@ -8,9 +8,8 @@ from showroom import vocab as v
 from showroom.functions import masks
 from showroom.operators import deidentify as di
 from showroom.plans.lead_view import LEADS_SQL, base, leads, table
-from showroom.queries.registry import query, tidy
+from showroom.queries.registry import lead_id, query, tidy
 
-ID = F.col(v.LEAD_ID).alias("id")
 BRAND_SQL = "text"
 for _word in sorted(v.BRAND_CODES, key=len, reverse=True):
     BRAND_SQL = f"replace({BRAND_SQL}, '{_word}', '{v.BRAND_CODES[_word]}')"
@@ -27,7 +26,7 @@ FROM (SELECT id, phone, CASE WHEN id % 2 = 0 THEN CAST(phone AS BIGINT) ELSE id
 def phone_cells(spark, folder):
     k = F.col(v.LEAD_ID)
     n = F.when(k % 2 == 0, F.col(v.PHONE).cast("bigint")).otherwise(k)
-    return tidy(base(spark, folder).select(ID, masks.mask_phone_cell(F.col(v.PHONE)).alias("phone"), masks.mask_phone_cell(n).alias("number")))
+    return tidy(base(spark, folder).select(lead_id(), masks.mask_phone_cell(F.col(v.PHONE)).alias("phone"), masks.mask_phone_cell(n).alias("number")))
 
 
 def memo(spark, folder, *extra):
@@ -75,7 +74,7 @@ SELECT id, CASE WHEN length(c) >= 15 THEN left(c, 4) || '**********' || right(c,
 FROM (SELECT id, CASE WHEN id % 3 = 0 THEN phone ELSE phone || right(phone, 7) END AS c FROM leads)""")
 def id_card_cells(spark, folder):
     card = F.when(F.col(v.LEAD_ID) % 3 == 0, F.col(v.PHONE)).otherwise(F.concat(v.PHONE, F.right(v.PHONE, F.lit(7))))
-    return base(spark, folder).select(ID, masks.mask_id_card_cell(card).alias("masked"))
+    return base(spark, folder).select(lead_id(), masks.mask_id_card_cell(card).alias("masked"))
 
 
 @query("d7_id_cards_in_text", MEMO_SQL + r"""
@@ -109,7 +108,7 @@ SELECT id, a.code AS city, b.code AS car FROM leads LEFT JOIN codes a ON a.value
 def pseudonyms(spark, folder):
     df = leads(spark, folder, "place", "car")
     codes = di.pseudonyms(df, [v.CITY, v.CAR], v.CITY_PREFIX)
-    return di.apply_pseudonyms(df, [v.CITY, v.CAR], codes).select(ID, F.col(v.CITY).alias("city"), F.col(v.CAR).alias("car"))
+    return di.apply_pseudonyms(df, [v.CITY, v.CAR], codes).select(lead_id(), F.col(v.CITY).alias("city"), F.col(v.CAR).alias("car"))
 
 
 def sensitive(spark, folder):
@@ -130,7 +129,7 @@ FROM leads""")
 def deidentified_table(spark, folder):
     out, touched = di.deidentify(sensitive(spark, folder))
     return tidy(out.select(
-        ID, F.col(v.PHONE).alias("phone"), F.col("一级渠道名称").alias("channel"), F.col("客户ID").alias("customer"),
+        lead_id(), F.col(v.PHONE).alias("phone"), F.col("一级渠道名称").alias("channel"), F.col("客户ID").alias("customer"),
         F.col("非首触跟进记录").alias("memo"), F.lit(len(touched)).alias("touched")))
 
 
@@ -142,4 +141,4 @@ SELECT id, phone, code AS city, CASE WHEN length('D' || id) <= 4 THEN '****' ELS
 def order_stage_table(spark, folder):
     out, _ = di.deidentify_order_stage(sensitive(spark, folder))
     return tidy(out.select(
-        ID, F.col(v.PHONE).alias("phone"), F.col(v.CITY).alias("city"), F.col("经销店代码").alias("dealer"), F.col("非首触跟进记录").alias("memo")))
+        lead_id(), F.col(v.PHONE).alias("phone"), F.col(v.CITY).alias("city"), F.col("经销店代码").alias("dealer"), F.col("非首触跟进记录").alias("memo")))

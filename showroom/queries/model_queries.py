@@ -12,12 +12,11 @@ from showroom.operators import splits as sp
 from showroom.plans import data_job, scoring, training as tr, validation
 from showroom.plans.lead_view import LEADS_SQL, base, behavior_log, leads
 from showroom.queries.join_queries import BEHAVIOR_SQL
-from showroom.queries.registry import query, tidy
+from showroom.queries.registry import lead_id, query, tidy
 from showroom.session import ensure_shared_folder, hand_over
 from showroom.sources.stores import PrepStore, prep_key
 
 SIZE = {"iterations": 5, "depth": 4, "trees": 10}
-ID = F.col(v.LEAD_ID).alias("id")
 
 
 def adapted(spark, folder):
@@ -97,7 +96,7 @@ def prepared_store(spark, folder):
 def binary_model(spark, folder):
     parts, (models, _), _ = _windows(spark, folder)
     scored = models["试驾标签_14天"].probabilities(parts["test"])
-    return tidy(scored.select(ID, F.col("试驾标签_14天").alias("actual"), "p_0", "p_1"))
+    return tidy(scored.select(lead_id(), F.col("试驾标签_14天").alias("actual"), "p_0", "p_1"))
 
 
 @query("s16_saved_model")
@@ -106,7 +105,7 @@ def saved_model(spark, folder):
     path = f"{ensure_shared_folder(spark)}/models/multiclass"
     model.save(spark, path, metric="macro_f1")
     back = tr.LeadModel.load(spark, path)
-    return tidy(back.probabilities(_prepared(spark, folder).test).select(ID, "p_H", "p_A", "p_B"))
+    return tidy(back.probabilities(_prepared(spark, folder).test).select(lead_id(), "p_H", "p_A", "p_B"))
 
 
 @query("m3_m5_leaderboard")
@@ -147,13 +146,13 @@ def window_models(spark, folder):
 @query("m10_two_stage_model")
 def two_stage_model(spark, folder):
     out = _two_stage(spark, folder).predict(_prepared(spark, folder).test)
-    return tidy(out.select(ID, F.col(v.PREDICTED).alias("predicted"), "p_H", "p_A", "p_B"))
+    return tidy(out.select(lead_id(), F.col(v.PREDICTED).alias("predicted"), "p_H", "p_A", "p_B"))
 
 
 @query("m11_multiclass_policy")
 def multiclass_policy(spark, folder):
     model, rule = _multiclass(spark, folder)
-    return tidy(model.predict(_prepared(spark, folder).test, rule=rule).select(ID, F.col(v.PREDICTED).alias("predicted")))
+    return tidy(model.predict(_prepared(spark, folder).test, rule=rule).select(lead_id(), F.col(v.PREDICTED).alias("predicted")))
 
 
 def _scored(spark, folder, mode):
@@ -165,7 +164,7 @@ def _scored(spark, folder, mode):
 
 
 def _short(df):
-    return tidy(df.select(ID, F.col("评级").alias("rating"), F.col("阶段").alias("stage"), F.col("分值").alias("score")))
+    return tidy(df.select(lead_id(), F.col("评级").alias("rating"), F.col("阶段").alias("stage"), F.col("分值").alias("score")))
 
 
 @query("m13_score_simple")

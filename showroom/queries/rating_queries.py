@@ -12,11 +12,16 @@ from showroom.functions.cells import present, truthy
 from showroom.operators import features as ft
 from showroom.plans.lead_view import LEADS_SQL, base, leads
 from showroom.queries.contract_queries import STATUS_SQL, status_leads
-from showroom.queries.registry import query, tidy
+from showroom.queries.registry import lead_id, query, tidy
 
-ID = F.col(v.LEAD_ID).alias("id")
-DRIVE = {7: F.col("p7"), 14: F.col("p14"), 21: F.col("p21")}
-ORDER = {7: F.col("p21"), 14: F.col("p7"), 21: F.col("p14")}
+
+
+def drive():
+    return {7: F.col("p7"), 14: F.col("p14"), 21: F.col("p21")}
+
+
+def order():
+    return {7: F.col("p21"), 14: F.col("p7"), 21: F.col("p14")}
 
 
 def _score_sql(p7, p14, p21):
@@ -35,12 +40,12 @@ SELECT id, rating, stage, round(CASE rating WHEN 'O' THEN 100 WHEN 'N' THEN 0 EL
 
 
 def _short(df):
-    return tidy(df.select(ID, F.col("评级").alias("rating"), F.col("阶段").alias("stage"), F.col("__raw").alias("score")))
+    return tidy(df.select(lead_id(), F.col("评级").alias("rating"), F.col("阶段").alias("stage"), F.col("__raw").alias("score")))
 
 
 def _rated(spark, folder, mode, order=None):
     """Rated leads, the score taken to one digit from its unrounded parts."""
-    df = rt.add_rating(status_leads(spark, folder), mode, DRIVE, order)
+    df = rt.add_rating(status_leads(spark, folder), mode, drive(), order)
     return df.withColumn("__raw", F.round("分值", 1))
 
 
@@ -66,7 +71,7 @@ SELECT id, CASE WHEN is_ordered THEN 'O' WHEN is_invalid THEN 'N' WHEN is_driven
                 ELSE {_window_sql('p7', 'p14', 'p21')} END AS rating,
        CASE WHEN is_ordered THEN 'O' WHEN is_invalid THEN '无效' WHEN is_driven THEN '试驾后' ELSE '试驾前' END AS stage FROM status""")
 def rating_advanced(spark, folder):
-    return _short(_rated(spark, folder, "advanced", ORDER)).drop("score")
+    return _short(_rated(spark, folder, "advanced", order())).drop("score")
 
 
 @query("r4_rating_scores", STATUS_SQL + f""", g AS (SELECT *, CASE WHEN is_ordered THEN 'O' WHEN is_invalid THEN 'N' ELSE 'C' END AS rating FROM status)
@@ -74,14 +79,14 @@ SELECT rating, count(*) AS n, round(avg(CASE rating WHEN 'O' THEN 100 WHEN 'N' T
 def rating_scores(spark, folder):
     df = status_leads(spark, folder)
     kind = F.when(rt.is_ordered(df), "O").when(rt.is_invalid(df), "N").otherwise("C")
-    out = df.withColumn("rating", kind).withColumn("s", rt.score(F.col("rating"), *DRIVE.values()))
+    out = df.withColumn("rating", kind).withColumn("s", rt.score(F.col("rating"), *drive().values()))
     return tidy(out.groupBy("rating").agg(F.count("*").alias("n"), F.round(F.avg("s"), 3).alias("mean_score")))
 
 
 @query("r5_rating_distribution", STATUS_SQL + f""", g AS (SELECT CASE WHEN is_ordered THEN 'O' WHEN is_invalid THEN 'N' ELSE {_window_sql('p7', 'p14', 'p21')} END AS r FROM status)
 SELECT rating, count(r) AS n FROM (VALUES ('O'), ('H'), ('A'), ('B'), ('C'), ('N')) t(rating) LEFT JOIN g ON r = rating GROUP BY rating""")
 def rating_distribution(spark, folder):
-    return rt.rating_distribution(rt.add_rating(status_leads(spark, folder), "medium", DRIVE))
+    return rt.rating_distribution(rt.add_rating(status_leads(spark, folder), "medium", drive()))
 
 
 PCT = "printf('%.1f%%', {0} * 100)"
@@ -96,7 +101,7 @@ SELECT id, rating, round(CASE WHEN rating = 'N' THEN greatest(p7, p14, p21) ELSE
  CAST(CASE rating WHEN 'H' THEN 3 WHEN 'A' THEN 7 WHEN 'B' THEN 14 END AS BIGINT) AS next_contact_days FROM g""")
 def hab_rating(spark, folder):
     df = base(spark, folder)
-    return tidy(df.select(ID, *[c.alias(n) for n, c in rt.hab_columns(*DRIVE.values()).items()]))
+    return tidy(df.select(lead_id(), *[c.alias(n) for n, c in rt.hab_columns(*drive().values()).items()]))
 
 
 @query("r7_factor_lists", LEADS_SQL + """, c AS (SELECT id, unnest(['a', 'b', 'c', 'd', 'e', 'f']) AS name,
@@ -105,13 +110,13 @@ r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY abs(value) DESC, pos
 SELECT id, coalesce(string_agg(name, ',' ORDER BY k) FILTER (k <= 3 AND value > 0), '') AS positive,
        coalesce(string_agg(name, ',' ORDER BY k) FILTER (k <= 5 AND value < 0), '') AS risk FROM r GROUP BY id""")
 def factor_lists(spark, folder):
-    p7, p14, p21 = DRIVE.values()
+    p7, p14, p21 = drive().values()
     values = [p7 - 0.5, 0.5 - p14, p21 - 0.25, p7 - p14, p14 - p21, F.lit(0.1)]
     pairs = F.array(*[F.struct(F.lit(n).alias("name"), x.alias("value")) for n, x in zip("abcdef", values)])
     df = base(spark, folder).withColumn("pairs", pairs)
     lists = rt.factor_lists(F.col("pairs"))
     names = lambda c: F.array_join(F.transform(c, lambda t: F.substring_index(t, ":", 1)), ",")
-    return df.select(ID, names(lists["positive_factors"]).alias("positive"), names(lists["risk_factors"]).alias("risk"))
+    return df.select(lead_id(), names(lists["positive_factors"]).alias("positive"), names(lists["risk_factors"]).alias("risk"))
 
 
 SCORED_SQL = LEADS_SQL
@@ -121,7 +126,7 @@ SCORED_SQL = LEADS_SQL
 SELECT id, CASE WHEN ph >= 0.5 THEN 'H' WHEN pa >= 0.4 THEN 'A' WHEN pb >= 0.3 THEN 'B' ELSE 'N' END AS rating FROM scored""")
 def class_engine(spark, folder):
     df = leads(spark, folder, "classes")
-    return tidy(df.select(ID, rt.engine_columns(F.col("p_H"), F.col("p_A"), F.col("p_B"))["rating"].alias("rating")))
+    return tidy(df.select(lead_id(), rt.engine_columns(F.col("p_H"), F.col("p_A"), F.col("p_B"))["rating"].alias("rating")))
 
 
 @query("r9_decision_policy", SCORED_SQL + """
@@ -131,16 +136,16 @@ def decision_policy(spark, folder):
     df = leads(spark, folder, "classes")
     p = {c: F.col(f"p_{c}") for c in "HAB"}
     rule = {"strategy": "hab_threshold", "h_threshold": 0.45, "b_threshold": 0.25}
-    return tidy(df.select(ID, rt.apply_policy(p, rule).alias("by_threshold"), rt.apply_policy(p).alias("by_maximum")))
+    return tidy(df.select(lead_id(), rt.apply_policy(p, rule).alias("by_threshold"), rt.apply_policy(p).alias("by_maximum")))
 
 
 @query("r10_combined_stages", LEADS_SQL + """
 SELECT id, CASE WHEN p7 >= 0.6 THEN 'H' WHEN p14 >= p21 THEN 'A' ELSE 'B' END AS label, round(p7, 6) AS ph,
        round((1 - p7) * p14, 6) AS pa, round((1 - p7) * p21, 6) AS pb FROM leads""")
 def combined_stages(spark, folder):
-    c = rt.combine_stages(*DRIVE.values(), threshold=0.6)
+    c = rt.combine_stages(*drive().values(), threshold=0.6)
     return tidy(base(spark, folder).select(
-        ID, c[v.PREDICTED].alias("label"), c["p_H"].alias("ph"), c["p_A"].alias("pa"), c["p_B"].alias("pb")))
+        lead_id(), c[v.PREDICTED].alias("label"), c["p_H"].alias("ph"), c["p_A"].alias("pa"), c["p_B"].alias("pb")))
 
 
 def card_leads(spark, folder):
@@ -170,7 +175,7 @@ SELECT id, round(CAST(basic AS DOUBLE), 4) AS basic, round(profile, 4) AS profil
 def scorecard(spark, folder):
     out = sc.add_scorecard(card_leads(spark, folder))
     short = {"基础特征得分": "basic", "画像特征得分": "profile", "时序特征得分": "timing", "意图特征得分": "intent"}
-    return tidy(out.select(ID, *[F.col(a).alias(b) for a, b in short.items()], F.col(v.PREDICTED).alias("label")))
+    return tidy(out.select(lead_id(), *[F.col(a).alias(b) for a, b in short.items()], F.col(v.PREDICTED).alias("label")))
 
 
 @query("r12_scorecard_shares", LEADS_SQL + """, s AS (SELECT id, p7 * 100 AS s FROM leads), p AS (SELECT id, greatest(least((s - 60) / 40.0, 1), 0) AS h,
@@ -178,7 +183,7 @@ def scorecard(spark, folder):
 SELECT id, round(h / (h + a + b), 6) AS h, round(a / (h + a + b), 6) AS a, round(b / (h + a + b), 6) AS b FROM p""")
 def scorecard_shares(spark, folder):
     p = sc.score_probabilities(F.col("p7") * 100)
-    return tidy(base(spark, folder).select(ID, p["p_H"].alias("h"), p["p_A"].alias("a"), p["p_B"].alias("b")))
+    return tidy(base(spark, folder).select(lead_id(), p["p_H"].alias("h"), p["p_A"].alias("a"), p["p_B"].alias("b")))
 
 
 @query("r13_truthy_present", LEADS_SQL + """
@@ -187,7 +192,7 @@ SELECT id, coalesce(paid = '已支付', false) AS paid_yes, paid IS NOT NULL AS
 def truthy_present(spark, folder):
     df = base(spark, folder)
     return tidy(df.select(
-        ID, truthy(df, "意向金支付状态").alias("paid_yes"), present(df, "意向金支付状态").alias("paid_there"),
+        lead_id(), truthy(df, "意向金支付状态").alias("paid_yes"), present(df, "意向金支付状态").alias("paid_there"),
         truthy(df, "历史到店次数").alias("arrived_yes"), present(df, "客户是否主动询问交车时间").alias("asked_there")))
 
 
@@ -230,7 +235,7 @@ def reason_leads(spark, folder):
 def reasons(spark, folder):
     df = reason_leads(spark, folder)
     out = df.withColumn("found", ac.reason_candidates(df)).withColumn("r", ac.prioritise(F.col("found"), F.col(v.PREDICTED)))
-    return tidy(out.select(ID, *[F.coalesce(F.get("r", F.lit(i)), F.lit("")).alias(f"r{i + 1}") for i in range(3)]))
+    return tidy(out.select(lead_id(), *[F.coalesce(F.get("r", F.lit(i)), F.lit("")).alias(f"r{i + 1}") for i in range(3)]))
 
 
 @query("r15_lead_actions", REASON_SQL + f"""SELECT f.id, label, CASE label WHEN 'H' THEN '高意向' WHEN 'A' THEN '中高意向' ELSE '待培育' END AS level,
@@ -238,5 +243,5 @@ def reasons(spark, folder):
 def lead_actions(spark, folder):
     out = ac.lead_actions(reason_leads(spark, folder), probabilities={"H": F.col("p7")})
     return tidy(out.select(
-        ID, F.col("预测HAB").alias("label"), F.col("等级说明").alias("level"), F.col("建议SOP").alias("sop"), F.col("原因1").alias("reason"),
+        lead_id(), F.col("预测HAB").alias("label"), F.col("等级说明").alias("level"), F.col("建议SOP").alias("sop"), F.col("原因1").alias("reason"),
         F.col("概率_H").alias("ph")))

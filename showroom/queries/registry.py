@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from showroom import vocab
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -41,5 +43,5 @@ def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*[cell(f) for f in df.schema])
 
 
-def big(*expressions: str) -> str:
-    return ", ".join(f"CAST({e.split(' AS ')[0]} AS BIGINT) AS {e.split(' AS ')[1]}" for e in expressions)
+def lead_id() -> Column:
+    return F.col(vocab.LEAD_ID).alias("id")

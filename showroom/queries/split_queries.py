@@ -9,10 +9,13 @@ from showroom.operators import splits as sp
 from showroom.plans.lead_view import LEADS_SQL, base, leads
 from showroom.queries.registry import query, tidy
 
-LABEL = F.col(v.RATING_RESULT).alias("label")
 STRATA = LEADS_SQL + ", s AS (SELECT rating AS label, count(*) AS n FROM leads GROUP BY rating)\n"
 
 
+def _label():
+    return F.col(v.RATING_RESULT).alias("label")
+
+
 def _sizes(df, *keys):
     return tidy(df.groupBy(*keys, "split").agg(F.count("*").alias("n"), F.count_distinct(v.LEAD_ID).alias("ids")))
 
@@ -26,13 +29,13 @@ SELECT label, 'train', CAST(n - CAST({test} AS BIGINT) AS BIGINT) FROM s WHERE l
 @query("w1_stratified_sizes", STRATA + _two_way("CAST(n * 0.2::DOUBLE AS INTEGER)"))
 def stratified_sizes(spark, folder):
     out = sp.random_split(base(spark, folder), v.RATING_RESULT)
-    return _sizes(out, LABEL)
+    return _sizes(out, _label())
 
 
 @query("w2_floored_sizes", STRATA + _two_way("floor(n * 0.15::DOUBLE)"))
 def floored_sizes(spark, folder):
     out = sp.random_split(base(spark, folder), v.RATING_RESULT, test_ratio=0.15, rounding="floor", seed=7)
-    return _sizes(out, LABEL)
+    return _sizes(out, _label())
 
 
 @query("w3_simple_sizes", LEADS_SQL + """
@@ -51,13 +54,13 @@ UNION ALL SELECT label, 'test', n - c FROM b) WHERE n > 0"""
 @query("w4_three_way_sizes", STRATA + THREE)
 def three_way_sizes(spark, folder):
     out = sp.stratified_split(base(spark, folder), v.RATING_RESULT, v.LEAD_ID, sp.three_way_sizes((0.7, 0.15, 0.15)))
-    return _sizes(out, LABEL)
+    return _sizes(out, _label())
 
 
 @query("w5_holdout_sizes", STRATA + """, e AS (SELECT label, n, greatest(1, CAST(round_even(n * 0.8::DOUBLE, 0) AS BIGINT)) AS a FROM s WHERE label IS NOT NULL)
 SELECT label, split, n, n AS ids FROM (SELECT label, 'train' AS split, a AS n FROM e UNION ALL SELECT label, 'test', n - least(a + 1, n - 1) FROM e) WHERE n > 0""")
 def holdout_sizes(spark, folder):
-    return _sizes(sp.holdout_split(base(spark, folder), v.RATING_RESULT), LABEL)
+    return _sizes(sp.holdout_split(base(spark, folder), v.RATING_RESULT), _label())
 
 
 def phoned(spark, folder):
@@ -97,7 +100,7 @@ def group_split_sizes(spark, folder):
     rows, assigned = sp.group_split(df, v.RATING_RESULT, keep_key=True)
     labels = sp.dominant_label(rows, "split_group_key", v.RATING_RESULT)
     parts = rows.groupBy("split_group_key").agg(F.min("split").alias("split"), (F.count_distinct("split") - 1).alias("more"))
-    out = parts.join(labels, "split_group_key").groupBy(LABEL, "split").agg(F.count("*").alias("n"), F.sum("more").alias("shared"))
+    out = parts.join(labels, "split_group_key").groupBy(_label(), "split").agg(F.count("*").alias("n"), F.sum("more").alias("shared"))
     return tidy(out)
 
 

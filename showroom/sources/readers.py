@@ -15,6 +15,9 @@ from showroom.operators.contract import apply_alias_contract, require_columns
 from showroom.session import use_utc
 
 
+CORRUPT = "__bad_line"
+
+
 @dataclass(frozen=True)
 class Format:
     kind: str  # "parquet", "header" or "headerless"
@@ -57,9 +60,28 @@ def _texts(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def read_header(spark: SparkSession, path: str, separator: str = ",", skip_bad: bool = False, **options) -> DataFrame:
-    mode = "DROPMALFORMED" if skip_bad else "PERMISSIVE"
-    return spark.read.csv(path, header=True, sep=separator, mode=mode, quote='"', escape='"', multiLine=False, **options)
+def read_rows(spark: SparkSession, path: str, names: list[str], separator: str, header: bool) -> DataFrame:
+    """Text columns under given names. A line with fewer fields is filled up with NULL, a line
+    with more is dropped.
+
+    Every line is parsed whole, whatever columns a query reads; otherwise the same line could be
+    bad for one query and good for the next.
+    """
+    schema = _texts([*names, CORRUPT])
+    raw = spark.read.schema(schema).option("columnPruning", "false").csv(
+        path, sep=separator, header=header, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, quote='"', escape='"',
+        enforceSchema=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    bad, first = F.col(CORRUPT), F.col("`" + names[0].replace("`", "``") + "`")
+    fields = F.size(F.split(bad, "\\Q" + separator + "\\E", -1))
+    # The first column takes part because a reader may not be asked for the bad-line column alone.
+    keep = bad.isNull() | ((fields <= len(names)) & (first.isNotNull() | bad.isNotNull()))
+    return raw.where(keep).drop(CORRUPT)
+
+
+def read_header(spark: SparkSession, path: str, separator: str = ",", skip_bad: bool = False) -> DataFrame:
+    """Text with a header line; every column is text."""
+    plain = spark.read.csv(path, header=True, sep=separator, quote='"', escape='"')
+    return read_rows(spark, path, plain.columns, separator, True) if skip_bad else plain
 
 
 def export_names(fields: int) -> list[str]:
@@ -70,11 +92,8 @@ def export_names(fields: int) -> list[str]:
 
 def read_lead_export(spark: SparkSession, path: str, separator: str = "\t") -> DataFrame:
     """Headerless lead export. The field count comes from the first line, trailing empty fields
-    included; lines with another count are dropped."""
-    names = export_names(first_line(spark, path).count(separator) + 1)
-    return spark.read.schema(_texts(names)).csv(
-        path, sep=separator, header=False, mode="DROPMALFORMED", quote='"', escape='"',
-        enforceSchema=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    included."""
+    return read_rows(spark, path, export_names(first_line(spark, path).count(separator) + 1), separator, False)
 
 
 def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None, n_rows: int | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from showroom.sources.readers import infer_separator, read_header
+from showroom.sources.readers import infer_separator, read_header, read_rows
 
 CODECS = ("snappy", "gzip", "zstd", "lz4")
 DELIMITERS = {"comma": ",", "tab": "\t", "semicolon": ";", "pipe": "|"}
@@ -43,8 +43,7 @@ def text_to_parquet(
     else:
         if not columns:
             raise ValueError("text without a header needs column names")
-        schema = ", ".join(f"`{c}` string" for c in columns)
-        df = spark.read.schema(schema).csv(source, sep=separator, mode="DROPMALFORMED")
+        df = read_rows(spark, source, columns, separator, False)
     write_parquet(df, target, codec)
     return {"rows": spark.read.parquet(target).count(), "columns": len(df.columns)}
 
