@@ -58,7 +58,7 @@ def hours_between(start: Column, end: Column) -> Column:
 
 def number(df: DataFrame, name: str) -> Column:
     """Double, NULL where the value is not a number."""
-    if isinstance(type_of(df, name), T.BooleanType):
+    if isinstance(type_of(df, name), (T.BooleanType, T.NumericType)):
         return named(name).cast("double")
     return F.expr(f"try_cast(`{name}` as double)")
 

@@ -14,6 +14,7 @@ from showroom.functions.cells import named, number_or_zero, one_row
 from showroom.functions.ratings import hab_rating
 from showroom.operators import classes as cl
 from showroom.operators.ranking import auc, class_ranking, top_k_metrics
+from showroom.session import cut_lineage
 
 ARRIVE_14, DRIVE_14 = "到店标签_14天", "试驾标签_14天"
 COMPARED = ["accuracy", "balanced_accuracy", "mcc", "macro_f1", "b_recall"]
@@ -112,7 +113,10 @@ def validate_derivation(
 
 
 def comparison_row(df: DataFrame, name: str, role: str, actual: str, predicted: str, with_kpis: bool = True) -> DataFrame:
-    """One row: class metrics, B recall, layering check and KPIs of a model."""
+    """One row: class metrics, B recall, layering check and KPIs of a model. The few columns needed
+    are written once, because several aggregations read them."""
+    needed = [c for c in dict.fromkeys([actual, predicted, *v.OUTCOME_COLUMNS]) if c in df.columns]
+    df = cut_lineage(df.select(*[named(c) for c in needed]))
     pairs = cl.pair_counts(df, actual, predicted)
     metrics = cl.score_pairs(pairs).select("accuracy", "balanced_accuracy", "mcc", "macro_f1")
     recall = cl.per_class(pairs).agg(

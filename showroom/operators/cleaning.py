@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 from showroom import vocab as v
 from showroom.functions.cells import named
 from showroom.operators.contract import column_facts
-from showroom.operators.ordering import exact_quantiles, unpivot_numbers
-from showroom.operators.profiling import distinct_counts, duplicate_summary, text_columns
+from showroom.operators.ordering import exact_quantiles
+from showroom.operators.profiling import distinct_counts, duplicate_summary, text_columns, wide_aggregate
 from showroom.session import cut_lineage
 
 MIN_VALUES_FOR_SKEW = 10
@@ -62,37 +62,49 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
 
 
 def outliers_iqr(df: DataFrame, columns: list[str] | None = None, k: float = 1.5) -> DataFrame:
-    """Rows (column, lower, upper, outliers) for columns with at least one value outside k·IQR."""
+    """Rows (column, lower, upper, outliers) for columns with at least one value outside k·IQR.
+
+    The quartiles are two numbers per column, so the count is one wide aggregation.
+    """
     columns = columns or checked_numbers(df)
-    edges = exact_quantiles(df, columns, [0.25, 0.75]).groupBy("column").agg(
-        F.max(F.when(F.col("p") == 0.25, F.col("quantile"))).alias("q1"),
-        F.max(F.when(F.col("p") == 0.75, F.col("quantile"))).alias("q3"),
-    )
-    spread = (F.col("q3") - F.col("q1")) * k
-    # One row per numeric column.
-    fences = edges.select("column", (F.col("q1") - spread).alias("lower"), (F.col("q3") + spread).alias("upper"))
-    return _count_outside(df, columns, fences, (F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper")))
+    found = {(r["column"], r["p"]): r["quantile"] for r in exact_quantiles(df, columns, [0.25, 0.75]).collect()}
+    fences = {}
+    for c in columns:
+        if (c, 0.25) in found:
+            q1, q3 = found[c, 0.25], found[c, 0.75]
+            fences[c] = (q1 - k * (q3 - q1), q3 + k * (q3 - q1))
+
+    def stats(c: str) -> dict[str, Column]:
+        lower, upper = fences[c]
+        return {
+            "lower": F.lit(lower), "upper": F.lit(upper), "outliers": F.count_if((named(c) < lower) | (named(c) > upper))}
+
+    return _listed(df, stats, list(fences), "lower double, upper double")
 
 
 def outliers_zscore(df: DataFrame, columns: list[str] | None = None, threshold: float = 1.5) -> DataFrame:
+    """Rows (column, mean, std, outliers); a column without spread is left out."""
     columns = columns or checked_numbers(df)
-    stats = unpivot_numbers(df, columns).groupBy("column").agg(
-        F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
-    fences = stats.where("std > 0")
-    return _count_outside(df, columns, fences, F.abs((F.col("value") - F.col("mean")) / F.col("std")) > threshold)
+    row = df.agg(*[F.avg(named(c)).alias(f"m{i}") for i, c in enumerate(columns)],
+                 *[F.stddev_pop(named(c)).alias(f"d{i}") for i, c in enumerate(columns)]).first()
+    spread = {c: (row[f"m{i}"], row[f"d{i}"]) for i, c in enumerate(columns) if row[f"d{i}"]}
+
+    def stats(c: str) -> dict[str, Column]:
+        mean, std = spread[c]
+        return {"mean": F.lit(mean), "std": F.lit(std), "outliers": F.count_if(F.abs((named(c) - mean) / std) > threshold)}
+
+    return _listed(df, stats, list(spread), "mean double, std double")
 
 
-def _count_outside(df: DataFrame, columns: list[str], fences: DataFrame, outside: Column) -> DataFrame:
-    keep = [c for c in fences.columns if c != "column"]
-    cells = unpivot_numbers(df, columns).join(F.broadcast(fences), "column")
-    counts = cells.groupBy("column", *keep).agg(F.count_if(outside).alias("outliers"))
-    return counts.where("outliers > 0")
+def _listed(df: DataFrame, stats, columns: list[str], extra: str) -> DataFrame:
+    if not columns:
+        return df.sparkSession.createDataFrame([], f"column string, {extra}, outliers bigint")
+    return wide_aggregate(df, stats, columns).where("outliers > 0")
 
 
 def skewed_columns(df: DataFrame, columns: list[str] | None = None, limit: float = 1.0) -> DataFrame:
     columns = columns or checked_numbers(df)
-    stats = unpivot_numbers(df, columns).groupBy("column").agg(
-        F.count("*").alias("n"), F.skewness("value").alias("skew"))
+    stats = wide_aggregate(df, lambda c: {"n": F.count(named(c)), "skew": F.skewness(named(c))}, columns)
     return stats.where((F.col("n") >= MIN_VALUES_FOR_SKEW) & (F.abs("skew") > limit)).select(
         "column", F.bround("skew", 2).alias("skewness"),
         F.when(F.col("skew") > 0, "log").otherwise("power").alias("suggestion"),

@@ -2,12 +2,14 @@
 
 The rows are range-partitioned on the full sort key, which includes a unique column, so a hot
 value is cut like any other stretch of rows. Slice totals give every slice its starting offset;
-inside a slice a window adds the rest. The ranged rows are written once to the shared folder,
-because slice numbers must not change between the two passes.
+inside a slice a window adds the rest. Rows are written to the shared folder before they are
+ranged, so that sampling does not repeat the plan behind them, and once more after it, because
+slice numbers must not change between the passes.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,6 +19,8 @@ from showroom.functions.cells import named
 from showroom.session import cut_lineage
 
 SLICE = "__slice"
+SMALL_ROWS = 100_000
+ACCURACY = 10_000
 
 
 def running_totals(
@@ -27,28 +31,38 @@ def running_totals(
 ) -> DataFrame:
     """Append, per row, the sums over all earlier rows of its ``by`` group (row excluded).
 
-    ``order`` must be unique within a group. A group may span many slices.
+    ``order`` must be unique within a group. A table counted as small takes one window per group;
+    in a larger one a group may span many slices.
     """
     by = list(by)
     inputs = {f"__in_{name}": value for name, value in sums.items()}
-    ranged = df.withColumns(inputs).repartitionByRange(*[named(c).asc() for c in by], *order)
+    rows = cut_lineage(df.withColumns(inputs))
+    if rows.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
+        before = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        totals = {n: F.coalesce(F.sum(f"__in_{n}").over(before), F.lit(0)) for n in sums}
+        return rows.withColumns(totals).drop(*inputs)
+    return _sliced_totals(rows, order, list(sums), by).drop(*inputs)
+
+
+def _sliced_totals(rows: DataFrame, order: Sequence[Column], names: list[str], by: list[str]) -> DataFrame:
+    ranged = rows.repartitionByRange(*[named(c).asc() for c in by], *order)
     ranged = cut_lineage(ranged.withColumn(SLICE, F.spark_partition_id()))
 
     keys = [*by, SLICE]
-    slices = ranged.groupBy(*keys).agg(*[F.sum(f"__in_{n}").alias(f"__slice_{n}") for n in sums])
+    slices = ranged.groupBy(*keys).agg(*[F.sum(f"__in_{n}").alias(f"__slice_{n}") for n in names])
     # One row per (group, slice): at most the number of slices plus the number of groups.
     earlier = Window.partitionBy(*by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = slices.select(
         *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-        *[F.coalesce(F.sum(f"__slice_{n}").over(earlier), F.lit(0)).alias(f"__from_{n}") for n in sums],
+        *[F.coalesce(F.sum(f"__slice_{n}").over(earlier), F.lit(0)).alias(f"__from_{n}") for n in names],
     )
     same = [named(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
     before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     inside = {
-        n: F.coalesce(F.sum(f"__in_{n}").over(before), F.lit(0)) + F.col(f"__from_{n}") for n in sums
+        n: F.coalesce(F.sum(f"__in_{n}").over(before), F.lit(0)) + F.col(f"__from_{n}") for n in names
     }
-    helper = [f"__k{i}" for i in range(len(keys))] + [f"__from_{n}" for n in sums]
-    return ranged.join(offsets, same).withColumns(inside).drop(*helper, *inputs, SLICE)
+    helper = [f"__k{i}" for i in range(len(keys))] + [f"__from_{n}" for n in names]
+    return ranged.join(offsets, same).withColumns(inside).drop(*helper, SLICE)
 
 
 def global_rank(
@@ -83,30 +97,81 @@ def unpivot_texts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """Rows (column, p, quantile): exact quantiles with linear interpolation.
 
-    Equal values are merged first, so a hot value is one row in the ordering.
+    An approximate quantile with a guaranteed rank error brackets the wanted position. One
+    aggregation counts the values below each bracket and only the few values inside are ordered.
+    Equal values are merged first, so a hot value is one row. A column with few values, or one whose
+    bracket missed, is ordered whole. The result has one row per column and probability.
     """
-    counts = unpivot_numbers(df, columns).groupBy("column", "value").agg(F.count("*").alias("n"))
-    placed = running_totals(counts, [F.col("value").asc()], {"before": F.col("n")}, ["column"])
-    totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
-    wanted = totals.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
-    wanted = wanted.withColumn("position", F.col("p") * (F.col("total") - 1))
-    # One row per listed column and probability.
-    marks = wanted.select(
-        F.col("column").alias("c"), "p", "position", F.floor("position").alias("low"),
-        F.ceil("position").alias("high"),
-    )
-    covers = lambda at: (F.col(at) >= F.col("before")) & (F.col(at) < F.col("before") + F.col("n"))
-    hit = placed.join(
-        F.broadcast(marks), (F.col("column") == F.col("c")) & (covers("low") | covers("high"))
-    )
-    found = hit.groupBy("column", "p", "position", "low").agg(
-        F.max(F.when(covers("low"), F.col("value"))).alias("v0"),
-        F.max(F.when(covers("high"), F.col("value"))).alias("v1"),
-    )
-    return found.select(
-        "column", "p",
-        (F.col("v0") + (F.col("v1") - F.col("v0")) * (F.col("position") - F.col("low"))).alias("quantile"),
+    columns, ps = list(columns), [float(p) for p in probabilities]
+    margin = 2.0 / ACCURACY
+    low = lambda p: max(0.0, p - margin)
+    high = lambda p: min(1.0, p + margin)
+    value = {c: named(c).cast("double") for c in columns}
+    row = df.agg(
+        *[F.count(value[c]).alias(f"n{i}") for i, c in enumerate(columns)],
+        *[
+            F.percentile_approx(value[c], [x for p in ps for x in (low(p), high(p))], ACCURACY).alias(f"q{i}")
+            for i, c in enumerate(columns)
+        ],
+    ).first()
+    totals = {c: row[f"n{i}"] for i, c in enumerate(columns)}
+    whole = [c for c in columns if 0 < totals[c] <= SMALL_ROWS]
+    brackets = {}
+    for i, c in enumerate(columns):
+        if totals[c] > SMALL_ROWS:
+            for j, p in enumerate(ps):
+                edge = row[f"q{i}"]
+                brackets[c, p] = (edge[2 * j] if low(p) > 0 else None, edge[2 * j + 1] if high(p) < 1 else None)
+
+    found = _bracketed(df, brackets, totals) if brackets else {}
+    whole += sorted({c for c, p in brackets if (c, p) not in found})
+    if whole:
+        counts = unpivot_numbers(df, whole).groupBy(F.col("column").alias("g"), "value").agg(F.count("*").alias("n"))
+        found |= _at_positions(counts, [(c, c, p, p * (totals[c] - 1), 0) for c in whole for p in ps])
+    rows = [(c, p, q) for (c, p), q in found.items()]
+    return df.sparkSession.createDataFrame(rows, "column string, p double, quantile double")
+
+
+def _bracketed(df: DataFrame, brackets: dict, totals: dict[str, int]) -> dict:
+    """Quantiles found inside their brackets; a bracket that misses its position is left out."""
+    keys = list(brackets)
+    value = lambda c: named(c).cast("double")
+    below = df.agg(*[
+        (F.count_if(value(c) < lo) if lo is not None else F.lit(0).cast("bigint")).alias(f"b{i}")
+        for i, (c, p) in enumerate(keys) for lo in [brackets[c, p][0]]
+    ]).first()
+
+    def inside(c: str, bounds: tuple) -> Column:
+        test = value(c).isNotNull()
+        test = test & (value(c) >= bounds[0]) if bounds[0] is not None else test
+        return test & (value(c) <= bounds[1]) if bounds[1] is not None else test
+
+    cells = F.array(*[
+        F.when(inside(c, brackets[c, p]), F.struct(F.lit(str(i)).alias("g"), value(c).alias("value")))
+        for i, (c, p) in enumerate(keys)
+    ])
+    counts = (
+        df.select(F.explode(F.filter(cells, lambda x: x.isNotNull())).alias("x")).select("x.g", "x.value")
+        .groupBy("g", "value").agg(F.count("*").alias("n"))
     )
+    marks = [(str(i), c, p, p * (totals[c] - 1), below[f"b{i}"]) for i, (c, p) in enumerate(keys)]
+    return _at_positions(counts, marks)
+
+
+def _at_positions(counts: DataFrame, marks: list[tuple]) -> dict:
+    """(column, p) -> interpolated value, from merged values (g, value, n). A mark is
+    (g, column, p, position, values below the group)."""
+    placed = running_totals(counts, [F.col("value").asc()], {"before": F.col("n")}, ["g"])
+    schema = "mg string, column string, p double, position double, skipped bigint"
+    wanted = counts.sparkSession.createDataFrame(marks, schema)
+    at = lambda f: f(F.col("position")) - F.col("skipped")
+    covers = lambda f: (at(f) >= F.col("before")) & (at(f) < F.col("before") + F.col("n"))
+    hit = placed.join(F.broadcast(wanted), (F.col("g") == F.col("mg")) & (covers(F.floor) | covers(F.ceil)))
+    rows = hit.groupBy("column", "p", "position").agg(
+        F.max(F.when(covers(F.floor), F.col("value"))).alias("v0"), F.max(F.when(covers(F.ceil), F.col("value"))).alias("v1")
+    ).where("v0 IS NOT NULL AND v1 IS NOT NULL").collect()
+    part = lambda r: r["position"] - math.floor(r["position"])
+    return {(r["column"], r["p"]): r["v0"] + (r["v1"] - r["v0"]) * part(r) for r in rows}
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -64,7 +64,7 @@ def duplicate_summary(df: DataFrame) -> DataFrame:
     )
 
 
-def _wide_aggregate(df: DataFrame, make, names: list[str]) -> DataFrame:
+def wide_aggregate(df: DataFrame, make, names: list[str]) -> DataFrame:
     """One row per column from wide aggregations of bounded width. ``make`` returns the
     statistics of one column as name -> expression."""
     out = None
@@ -81,7 +81,7 @@ def _wide_aggregate(df: DataFrame, make, names: list[str]) -> DataFrame:
 
 def missing_by_column(df: DataFrame) -> DataFrame:
     """Nulls and their percentage (2 digits) per column, in one pass."""
-    stats = _wide_aggregate(
+    stats = wide_aggregate(
         df, lambda c: {"total": F.count("*"), "filled": F.count(named(c))}, df.columns
     )
     nulls = F.col("total") - F.col("filled")
@@ -123,7 +123,7 @@ def column_summary(df: DataFrame) -> DataFrame:
     facts = {f.name: (f.dataType.simpleString(), category(f.dataType)) for f in df.schema}
     pick = lambda i: F.create_map(
         *[F.lit(x) for c, t in facts.items() for x in (c, t[i])])[F.col("column")]
-    return _wide_aggregate(df, stats, df.columns).select(
+    return wide_aggregate(df, stats, df.columns).select(
         "column", pick(0).alias("dtype"), pick(1).alias("category"), "min", "max", "mean",
         "approx_distinct", (F.col("total") - F.col("filled")).alias("missing_count"),
     )
@@ -226,7 +226,7 @@ def cleaning_suggestions(df: DataFrame, target: str | None = None) -> DataFrame:
 
 def constant_columns(df: DataFrame) -> DataFrame:
     """Columns with at most one distinct non-null value, exactly."""
-    stats = _wide_aggregate(
+    stats = wide_aggregate(
         df,
         lambda c: {"filled": F.count(named(c)), "same": F.min(named(c)) == F.max(named(c))},
         df.columns,
@@ -282,7 +282,7 @@ def explore(df: DataFrame, target: str, limit: int = 15) -> DataFrame:
     """Numeric columns by absolute correlation with the target, with mean and deviation."""
     names = [c for c in numeric_columns(df) if c != target]
     y = named(target).cast("double")
-    stats = _wide_aggregate(
+    stats = wide_aggregate(
         df,
         lambda c: {
             "correlation": F.corr(named(c).cast("double"), y), "mean": F.avg(named(c)),
@@ -296,7 +296,7 @@ def explore(df: DataFrame, target: str, limit: int = 15) -> DataFrame:
 
 
 def conversion_rates(df: DataFrame, labels: list[str]) -> DataFrame:
-    return _wide_aggregate(df, lambda c: {"rate": F.avg(named(c).cast("double"))}, labels)
+    return wide_aggregate(df, lambda c: {"rate": F.avg(named(c).cast("double"))}, labels)
 
 
 def mostly_missing(df: DataFrame, percent: float = 10.0) -> DataFrame:

@@ -10,6 +10,7 @@ from showroom import vocab as v
 from showroom.functions.labels import order_date_labels
 from showroom.functions.status import is_driven
 from showroom.operators import behavior as bh, cleaning as cg, contract as ct, deidentify as di, profiling as pf, splits as sp
+from showroom.session import hand_over
 from showroom.sources.writers import write_parquet
 
 STEPS = ("merge", "profile", "clean", "deidentify", "split")
@@ -26,7 +27,8 @@ def run_step(step: str, df: DataFrame, **options) -> tuple[DataFrame, object]:
     if step == "profile":
         return df, pf.full_profile(df, options.get("target"))
     if step == "clean":
-        return cg.clean(df, **options.get("cleaning", {}))
+        # Several column-pruned passes follow; they read a table instead of repeating the join.
+        return cg.clean(hand_over(df, "merged"), **options.get("cleaning", {}))
     if step == "deidentify":
         return di.deidentify(df)
     if step == "split":

@@ -71,7 +71,7 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
         F.max(F.when(F.col("l_linestatus") == "F", shipped)).alias(v.ORDERED),
         F.count("*").alias("通话次数"),
         F.sum("l_quantity").alias("通话总时长"),
-        F.min(F.struct("l_linenumber", "l_partkey")).getField("l_partkey").alias("__part"),
+        F.min_by("l_partkey", F.col("l_linenumber").cast("bigint") * 2**40 + F.col("l_partkey")).alias("__part"),
     )
 
 

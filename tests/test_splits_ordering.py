@@ -158,3 +158,21 @@ def test_holdout(make):
     got = sizes_of(sp.holdout_split(classes(make, {"a": 10, "b": 20}), "t"))
     assert got == {("a", "train"): 8, ("a", "test"): 1, ("b", "train"): 16, ("b", "test"): 3}
     assert sp.holdout_split(classes(make, {"a": 10}), "t", stratify=False).where("split = 'test'").count() == 2
+
+
+def test_sliced_and_bracketed_paths(spark, monkeypatch):
+    """The paths for large tables give the same results as the small ones."""
+    df = spark.range(4000, numPartitions=5).select(
+        "id", F.when(F.col("id") % 3 == 0, 5.0).otherwise((F.hash("id") % 1000).cast("double")).alias("x"), (F.rand(3) * 10).alias("z")).persist()
+    ps = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+    small = {(r[0], r[1]): r[2] for r in od.exact_quantiles(df, ["x", "z"], ps).collect()}
+    ranks = {r["id"]: r["rank"] for r in od.global_rank(df, [F.desc("x"), F.asc("id")]).collect()}
+    monkeypatch.setattr(od, "SMALL_ROWS", 50)
+    large = {(r[0], r[1]): r[2] for r in od.exact_quantiles(df, ["x", "z"], ps).collect()}
+    assert large == pytest.approx(small) and len(large) == 14
+    xs = [r[0] for r in df.select("x").collect()]
+    assert all(large["x", p] == pytest.approx(np.quantile(xs, p)) for p in ps)
+    assert {r["id"]: r["rank"] for r in od.global_rank(df, [F.desc("x"), F.asc("id")]).collect()} == ranks
+    monkeypatch.setattr(od, "ACCURACY", 20_000)
+    monkeypatch.setattr(od, "_bracketed", lambda *a: {})
+    assert {(r[0], r[1]): r[2] for r in od.exact_quantiles(df, ["x"], ps).collect()} == pytest.approx({k: q for k, q in small.items() if k[0] == "x"})
