@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from showroom import vocab as v
-from showroom.functions.cells import named, one_row
+from showroom.functions.cells import add_all, named, one_row
 from showroom.operators.ordering import exact_quantiles, global_rank, running_totals
 
 K_VALUES = (100, 500, 1000)
@@ -132,11 +132,11 @@ def quantile_bins(df: DataFrame, label: str, probability: str, score: str, bins:
     """Rows per quantile bin of the score: edges are exact quantiles, equal edges merge, bins are
     closed on the right and the lowest edge belongs to the first bin."""
     shares = [i / bins for i in range(bins + 1)]
-    edges = exact_quantiles(df, [score], shares).agg(F.array_sort(F.collect_set("quantile")).alias("edges"))
+    # At most bins + 1 numbers.
+    edges = sorted({r["quantile"] for r in exact_quantiles(df, [score], shares).collect()})
     value = named(score).cast("double")
-    below = F.size(F.filter(F.col("__edges"), lambda e: e < value))
-    placed = df.where(value.isNotNull()).withColumn("__edges", one_row(edges)["edges"])
-    placed = placed.withColumn("bin", F.greatest(below, F.lit(1)))
+    below = add_all([(value > e).cast("int") for e in edges] or [F.lit(1)])
+    placed = df.where(value.isNotNull()).withColumn("bin", F.greatest(below, F.lit(1)))
     return placed.groupBy("bin").agg(
         F.count("*").alias("count"),
         F.avg(named(label).cast("double")).alias("actual_rate"),

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from showroom import vocab as v
-from showroom.functions.cells import as_time, micros, named
+from showroom.functions.cells import as_time, micros, named, one_row
 from showroom.operators.ordering import exact_quantiles
 from showroom.session import broadcast_checked, cut_lineage
 
@@ -91,6 +91,15 @@ def _cuts(df: DataFrame, stratum: str, row_id: str, seed: int, sizes: Sizes) ->
     )
 
 
+def _labelled(df: DataFrame, row_id: str, sizes: Sizes, seed: int, names: list[str]) -> DataFrame:
+    """Name the part of every row from the cut columns next to it."""
+    here = F.struct(shuffle_key(row_id, seed).alias("__hash"), named(row_id).alias("__id"))
+    split = F.lit(sizes(F.lit(0))[-1][0])
+    for name in reversed(names):
+        split = F.when(here <= F.col(f"__cut_{name}"), name).otherwise(split)
+    return df.withColumn(SPLIT, split).drop(*[f"__cut_{n}" for n in names])
+
+
 def stratified_split(
     df: DataFrame, target: str, row_id: str, sizes: Sizes, seed: int = 42, drop_null_target: bool = False
 ) -> DataFrame:
@@ -99,19 +108,16 @@ def stratified_split(
         df = df.where(named(target).isNotNull())
     cuts = broadcast_checked(_cuts(df, target, row_id, seed, sizes))
     names = [c.removeprefix("__cut_") for c in cuts.columns if c != "__s"]
-    labelled = df.join(cuts, named(target).eqNullSafe(F.col("__s")), "left")
-    here = F.struct(shuffle_key(row_id, seed).alias("__hash"), named(row_id).alias("__id"))
-    last = sizes(F.lit(0))[-1][0]
-    split = F.lit(last)
-    for name in reversed(names):
-        split = F.when(here <= F.col(f"__cut_{name}"), name).otherwise(split)
-    return labelled.withColumn(SPLIT, split).drop("__s", *[f"__cut_{n}" for n in names])
+    joined = df.join(cuts, named(target).eqNullSafe(F.col("__s")), "left").drop("__s")
+    return _labelled(joined, row_id, sizes, seed, names)
 
 
 def simple_split(df: DataFrame, row_id: str, sizes: Sizes, seed: int = 42) -> DataFrame:
     """One stratum: all rows."""
-    whole = df.withColumn("__all", F.lit(0))
-    return stratified_split(whole, "__all", row_id, sizes, seed).drop("__all")
+    cuts = _cuts(df.withColumn("__all", F.lit(0)), "__all", row_id, seed, sizes).drop("__s")
+    names = [c.removeprefix("__cut_") for c in cuts.columns]
+    found = one_row(cuts)
+    return _labelled(df.withColumns({c: found[c] for c in cuts.columns}), row_id, sizes, seed, names)
 
 
 def random_split(
