@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from showroom import vocab as v
-from showroom.functions.cells import is_number, named
+from showroom.functions.cells import is_number, named, one_row
 from showroom.operators.contract import EXPRESSIONS_PER_PASS
 from showroom.operators.ordering import unpivot_texts, value_counts
 from showroom.session import broadcast_checked
@@ -41,27 +41,15 @@ def duplicate_summary(df: DataFrame) -> DataFrame:
     Only 8-byte fingerprints are shuffled for the whole table. Rows whose fingerprint occurs once
     are unique for sure; only the others are compared in full.
     """
-    mark = F.xxhash64(*[named(c) for c in df.columns]).alias("__mark")
-    marked = df.withColumn("__mark", mark)
-    groups = marked.groupBy("__mark").agg(F.count("*").alias("n"))
-    repeated = broadcast_checked(groups.where("n > 1").select("__mark"))
-    suspects = marked.join(repeated, "__mark", "left_semi")
-    distinct_suspects = suspects.groupBy(*[named(c) for c in df.columns]).agg(F.lit(1).alias("one"))
-    singles = groups.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count_if(F.col("n") == 1).alias("single")
-    )
-    both = singles.select("rows", "single", F.lit(0).alias("again")).unionByName(
-        distinct_suspects.agg(
-            F.lit(0).cast("bigint").alias("rows"), F.lit(0).cast("bigint").alias("single"),
-            F.count("*").alias("again"),
-        )
-    )
-    total = both.agg(*[F.sum(c).alias(c) for c in ("rows", "single", "again")])
-    return total.select(
-        "rows",
-        F.lit(len(df.columns)).alias("columns"),
-        (F.col("rows") - F.col("single") - F.col("again")).alias("duplicate_rows"),
-    )
+    every = [named(c) for c in df.columns]
+    marked = df.withColumn("__mark", F.xxhash64(*every))
+    repeated = broadcast_checked(marked.groupBy("__mark").agg(F.count("*").alias("n")).where("n > 1"))
+    suspects = marked.join(repeated.select("__mark"), "__mark", "left_semi")
+    distinct = suspects.groupBy(*every).agg(F.lit(1).alias("one")).agg(F.count("*").alias("n"))
+    # Rows that look repeated, less the distinct ones among them, are the duplicates.
+    alike = one_row(repeated.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")))["n"]
+    return df.agg(F.count("*").alias("rows")).select(
+        "rows", F.lit(len(df.columns)).alias("columns"), (alike - one_row(distinct)["n"]).alias("duplicate_rows"))
 
 
 def wide_aggregate(df: DataFrame, make, names: list[str]) -> DataFrame:

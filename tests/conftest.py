@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 def spark():
     from showroom import local_session
 
-    session = local_session("8", "tests")
+    session = local_session("8", "tests", spark__sql__shuffle__partitions="4")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
