@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from showroom import vocab as v
 from showroom.functions.cells import named, one_row
-from showroom.operators.policy import ordered_labels
+from showroom.operators.policy import class_counts, ordered_labels
 
 
 def pair_counts(df: DataFrame, actual: str, predicted: str) -> DataFrame:
@@ -27,8 +27,7 @@ def confusion_matrix(df: DataFrame, actual: str, predicted: str, labels: Sequenc
     """One row per true class, one column per predicted class, in business order."""
     counts = pair_counts(df, actual, predicted)
     if labels is None:
-        seen = counts.select(F.explode(F.array("actual", "predicted")).alias("x")).distinct().collect()
-        labels = ordered_labels([r["x"] for r in seen])
+        labels = ordered_labels(class_counts(counts.select(F.explode(F.array("actual", "predicted")).alias("x")), "x"))
     columns = [
         F.coalesce(F.sum(F.when(F.col("predicted") == c, F.col("n"))), F.lit(0)).alias(f"pred_{c}") for c in labels]
     matrix = counts.groupBy("actual").agg(*columns)

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from showroom import vocab as v
 from showroom.functions.cells import named
 
+MAX_CLASSES = 1000
+
 
 def ordered_labels(labels, order: list[str] = v.OHAB_ORDER, extras: bool = True) -> list[str]:
     found = {str(x) for x in labels if x is not None}
@@ -15,12 +17,22 @@ def ordered_labels(labels, order: list[str] = v.OHAB_ORDER, extras: bool = True)
     return known + (sorted(found - set(order)) if extras else [])
 
 
+def class_counts(df: DataFrame, label: str) -> dict[str, int]:
+    """Rows per class; null is not a class. A column with too many values is not a label."""
+    rows = (
+        df.where(named(label).isNotNull()).groupBy(named(label).cast("string").alias("label"))
+        .agg(F.count("*").alias("n")).limit(MAX_CLASSES + 1).collect()
+    )
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} values")
+    return {r["label"]: r["n"] for r in rows}
+
+
 def build_policy(
     train: DataFrame, target: str, mode: str = "ohab", o_merge_threshold: int = 50, merge_target: str = "H"
 ) -> dict:
     """Class counts come to the driver, one row per class."""
-    rows = train.where(named(target).isNotNull()).groupBy(named(target).alias("label")).agg(F.count("*").alias("n")).collect()
-    counts = {str(r["label"]): r["n"] for r in rows}
+    counts = class_counts(train, target)
     raw = ordered_labels(counts)
     o_count = counts.get("O", 0)
     merged = mode != "hab" and 0 < o_count < o_merge_threshold

@@ -301,6 +301,16 @@ def parts(df: DataFrame) -> dict[str, DataFrame]:
     return {p: df.where(F.col(SPLIT) == p).drop(SPLIT) for p in (TRAIN, VALID, TEST)}
 
 
+def given_parts(train: DataFrame, test: DataFrame, valid: DataFrame | None = None) -> DataFrame:
+    """Parts that come as tables of their own win over any automatic split."""
+    named_parts = [(TRAIN, train), (TEST, test)] + ([(VALID, valid)] if valid is not None else [])
+    labelled = [d.withColumn(SPLIT, F.lit(p)) for p, d in named_parts]
+    out = labelled[0]
+    for part in labelled[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
 def isolate_test(df: DataFrame, info: dict, recorded_ids: DataFrame | None = None, time: str = v.CREATED) -> DataFrame:
     """The rows a model has not seen: after ``valid_end``, or the recorded ids."""
     if info.get("mode") in ("oot", "oot_manual"):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,9 @@ from showroom.functions.cells import named
 from showroom.functions.ratings import add_rating
 from showroom.functions.status import is_driven
 from showroom.operators import contract as ct, features as ft
+from showroom.operators.ranking import K_VALUES, resolve_score, top_list
 from showroom.plans.training import LeadModel
+from showroom.session import hand_over
 from showroom.sources.writers import write_delimited
 
 log = logging.getLogger(__name__)
@@ -103,6 +106,27 @@ def score(
     return out
 
 
+def write_top_lists(
+    df: DataFrame, model: LeadModel, output: str, target_class: str | None = None, lead_id: str = v.LEAD_ID,
+    ks: Sequence[int] = K_VALUES,
+) -> dict[int, DataFrame]:
+    """One list per k as text, with the true label where it is known. A k above the row count is
+    left out; it is an error when none remains."""
+    columns = {c: f"p_{c}" for c in model.classes}
+    score_column = resolve_score(columns, target_class)
+    label = model.label if model.label in df.columns else None
+    keep = [lead_id, score_column] + ([label] if label else [])
+    scored = hand_over(model.probabilities(df).select(*[named(c) for c in keep]), "scored")
+    rows = scored.count()
+    usable = [k for k in ks if k <= rows]
+    if not usable:
+        raise ValueError(f"no k of {list(ks)} fits {rows} rows")
+    lists = {k: top_list(scored, score_column, lead_id, label, k) for k in usable}
+    for k, best in lists.items():
+        write_delimited(best, f"{output}_top{k}.csv")
+    return lists
+
+
 def scoring_frame(df: DataFrame, target: str, heat: DataFrame | None = None, keep_labels: bool = True) -> DataFrame:
     """Features replayed and excluded columns removed; label-like columns stay for evaluation."""
     return ct.scoring_projection(_feature_rows(df, heat), ct.excluded_columns(target), keep_labels)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from showroom import vocab as v
@@ -11,6 +11,7 @@ from showroom.functions.scorecard import add_scorecard, score_probabilities
 from showroom.operators import business as bz, contract as ct, features as ft, policy as po, splits as sp
 from showroom.plans.training import LeadModel, TwoStage
 from showroom.session import hand_over
+from showroom.sources.stores import write_sidecar
 from showroom.sources.writers import write_parquet
 
 PROBABILITIES = {c: f"p_{c}" for c in v.HAB_ORDER}
@@ -24,6 +25,21 @@ def replay(df: DataFrame, target: str, info: dict, heat: DataFrame | None) -> Da
     return ct.replay_screening(ft.transform(rows, heat), info["post_feature_screening_report"])
 
 
+def model_report(
+    spark: SparkSession, path: str, name: str, metrics: dict, top_k: DataFrame, importances: dict[str, float] | None = None,
+    bins: DataFrame | None = None,
+) -> dict:
+    """Report record of one model: metrics, top-k rows, the 20 largest importances, bins. All parts are short."""
+    rows = lambda d: [r.asDict() for r in d.collect()]
+    report = {"model_name": name, "model_metrics": metrics, "topk_metrics": {f"top_{r['k']}": r for r in rows(top_k)}}
+    if importances is not None:
+        report["feature_importance"] = [{"feature": f, "importance": x} for f, x in list(importances.items())[:20]]
+    if bins is not None:
+        report["stratified_metrics"] = rows(bins)
+    write_sidecar(spark, f"{path}/{name}_report", report)
+    return report
+
+
 def judged_by_model(df: DataFrame, model: LeadModel, rule: dict | None = None) -> DataFrame:
     out = model.probabilities(df)
     return out.withColumn(v.PREDICTED, apply_policy({c: F.col(f"p_{c}") for c in model.classes}, rule))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from showroom import vocab as v
 from showroom.functions.labels import target_labels
-from showroom.operators import splits as sp
+from showroom.operators import ranking as rk, splits as sp
 from showroom.plans import data_job, scoring, training as tr, validation
 from showroom.plans.lead_view import LEADS_SQL, base, behavior_log, leads
 from showroom.queries.join_queries import BEHAVIOR_SQL
@@ -48,7 +48,7 @@ def _windows(spark, folder):
     rows = hand_over(sp.time_split(adapted(spark, folder), "1999-01-01"), "windows")
     parts = sp.parts(rows)
     size = {"iterations": 3, "depth": 3}
-    drive = tr.train_window_models(parts["train"], parts["test"], list(WINDOW_TARGETS.values()), size=size)
+    drive = tr.train_window_models(parts["train"], parts["test"], [*WINDOW_TARGETS.values(), "到店标签_14天"], size=size)
     order = tr.train_window_models(parts["train"], parts["test"], list(ORDER_TARGETS.values()), size=size)
     return parts, drive, order
 
@@ -143,6 +143,25 @@ def window_models(spark, folder):
     return tidy(drive.unionByName(order))
 
 
+@query("e2_top_lists_of_model")
+def top_lists_of_model(spark, folder):
+    model, _ = _multiclass(spark, folder)
+    path = f"{ensure_shared_folder(spark)}/top/{folder.rstrip('/').rsplit('/', 1)[-1]}"
+    lists = scoring.write_top_lists(_prepared(spark, folder).test, model, path, "H", ks=(50, 100, 10**9))
+    return tidy(lists[100].select("rank", F.col(v.LEAD_ID).alias("id"), "predicted_proba", "actual_label"))
+
+
+@query("e7_model_report")
+def report_of_model(spark, folder):
+    model, _ = _multiclass(spark, folder)
+    scored = hand_over(model.predict(_prepared(spark, folder).test).select(
+        v.LEAD_ID, "p_H", (F.col(model.label) == "H").cast("int").alias("y")), "report")
+    report = validation.model_report(
+        spark, f"{ensure_shared_folder(spark)}/reports", "multiclass", {"classes": model.classes},
+        rk.top_k_metrics(scored, "y", "p_H", v.LEAD_ID, (50, 100)), model.importances(), rk.quantile_bins(scored, "y", "p_H", "p_H"))
+    return tidy(spark.createDataFrame(report["stratified_metrics"], "bin int, count bigint, actual_rate double, predicted_rate double, positive_count bigint"))
+
+
 @query("m10_two_stage_model")
 def two_stage_model(spark, folder):
     out = _two_stage(spark, folder).predict(_prepared(spark, folder).test)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from showroom import vocab as v
 from showroom.operators import splits as sp
-from showroom.plans.lead_view import LEADS_SQL, base, leads
+from showroom.plans.lead_view import LEADS_SQL, base, leads, table
 from showroom.queries.registry import query, tidy
 
 STRATA = LEADS_SQL + ", s AS (SELECT rating AS label, count(*) AS n FROM leads GROUP BY rating)\n"
@@ -172,3 +172,10 @@ def disjoint_ids(spark, folder):
     sp.check_disjoint(parts["train"], parts["test"])
     shared = parts["test"].join(parts["train"].select(v.LEAD_ID), v.LEAD_ID, "left_semi")
     return tidy(parts["test"].agg(F.count("*").alias("test_rows")).withColumn("shared", F.lit(shared.count())))
+
+
+@query("w14_given_sets", """
+SELECT split, count(*) AS n, CAST(count(DISTINCT o_orderkey) AS BIGINT) AS ids FROM (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'train' ELSE 'test' END AS split FROM orders) GROUP BY split""")
+def given_sets(spark, folder):
+    orders = table(spark, folder, "orders").withColumnRenamed("o_orderkey", v.LEAD_ID)
+    return _sizes(sp.given_parts(orders.where("o_orderstatus = 'F'"), orders.where("o_orderstatus != 'F'")))

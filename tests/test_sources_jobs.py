@@ -216,6 +216,20 @@ def test_leaderboard_and_baseline(make):
         tr.choose_families(included=[])
 
 
+def test_top_lists_and_report(spark, prep, fitted, tmp_path):
+    model = fitted[1][0]
+    lists = scoring.write_top_lists(prep.test, model, str(tmp_path / "m"), "H", ks=(5, 10_000))
+    assert set(lists) == {5} and rd.read_header(spark, str(tmp_path / "m_top5.csv")).count() == 5
+    with pytest.raises(ValueError, match="fits"):
+        scoring.write_top_lists(prep.test, model, str(tmp_path / "n"), "H", ks=(10_000,))
+    with pytest.raises(ValueError, match="target_class"):
+        scoring.write_top_lists(prep.test, model, str(tmp_path / "n"), ks=(5,))
+    top = spark.createDataFrame([(5, 2)], "k int, hit_count int")
+    report = validation.model_report(spark, str(tmp_path), "m", {"auc": 0.5}, top, {f"f{i}": 1.0 for i in range(30)})
+    assert len(report["feature_importance"]) == 20 and report["topk_metrics"]["top_5"]["hit_count"] == 2
+    assert st.read_sidecar(spark, str(tmp_path / "m_report"))["model_name"] == "m"
+
+
 def test_multiclass_gbt_is_one_head_per_class(prep):
     model = tr.train(prep.train, prep.target, "GBT", size={"iterations": 2, "depth": 2})
     assert len(model.heads) == 3
