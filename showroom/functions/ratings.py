@@ -197,7 +197,6 @@ def factor_lists(contributions: Column) -> dict[str, Column]:
 # --- class-probability rules ---------------------------------------------------------
 
 ENGINE_THRESHOLDS = {"H": 0.5, "A": 0.4, "B": 0.3}
-ENGINE_WORDS = {"H": "高意向，7天内计划试驾", "A": "中意向，14天内计划试驾", "B": "低意向，21天内计划试驾"}
 
 
 def engine_columns(h: Column, a: Column, b: Column, thresholds: dict[str, float] | None = None) -> dict[str, Column]:
@@ -205,7 +204,7 @@ def engine_columns(h: Column, a: Column, b: Column, thresholds: dict[str, float]
     rating = F.when(h >= t["H"], "H").when(a >= t["A"], "A").when(b >= t["B"], "B").otherwise("N")
     explain = F.lit(v.HAB_TEXT["N"])
     for label, p in (("B", b), ("A", a), ("H", h)):
-        line = F.concat(F.lit(f"{ENGINE_WORDS[label]}（P({label})="), percent(p), F.lit("）"))
+        line = F.concat(F.lit(f"{v.HAB_TEXT[label]}（P({label})="), percent(p), F.lit("）"))
         explain = F.when(rating == label, line).otherwise(explain)
     return {"rating": rating, "explanation": explain}
 

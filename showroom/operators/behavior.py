@@ -61,6 +61,8 @@ def join_behavior(
 ) -> DataFrame:
     """Left join on the phone as text; leads without a phone keep NULL features."""
     phone = phone or find_phone_column(leads.columns)
+    lead_id = lead_id or (v.LEAD_ID if v.LEAD_ID in leads.columns else None)
+    # The id alone keeps unread columns out of the scan.
     spread_by = named(lead_id) if lead_id else F.struct("*")
     left = leads.withColumn("__key", spread_key(named(phone), spread_by))
     right = features.where(named(log_phone).isNotNull()).withColumnRenamed(log_phone, "__key")
