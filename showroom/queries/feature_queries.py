@@ -180,12 +180,13 @@ def stage_labels(spark, folder):
     return tidy(one.join(two, "id", "left"))
 
 
-@query("c19_label_policy", LEADS_SQL + """, small AS (SELECT id, rating FROM leads WHERE rating IS NOT NULL AND (rating <> 'O' OR id % 1000 = 0)),
+@query("c19_label_policy", LEADS_SQL + """, small AS (SELECT id, CASE WHEN rating = 'O' AND id % 1000 <> 0 THEN 'A' ELSE rating END AS rating FROM leads WHERE rating IS NOT NULL),
 o AS (SELECT count(*) AS n FROM small WHERE rating = 'O')
 SELECT id, CASE WHEN rating = 'O' AND n > 0 AND n < 50 THEN 'H' ELSE rating END AS label FROM small, o""")
 def label_policy(spark, folder):
     k = F.col(v.LEAD_ID)
-    df = base(spark, folder).where((F.col(v.RATING_RESULT) != "O") | (k % 1000 == 0))
+    rare = F.when((F.col(v.RATING_RESULT) == "O") & (k % 1000 != 0), "A").otherwise(F.col(v.RATING_RESULT))
+    df = base(spark, folder).withColumn(v.RATING_RESULT, rare)
     rule = policy.build_policy(df, v.RATING_RESULT)
     return tidy(policy.keep_effective(policy.apply_policy(df, v.RATING_RESULT, rule), v.RATING_RESULT, rule).select(
         lead_id(), F.col(v.RATING_RESULT).alias("label")))

@@ -158,11 +158,11 @@ def given_dates(spark, folder):
 
 
 @query("j3_group_members", KEYED + """
-SELECT k, count(*) AS n FROM keyed WHERE k LIKE 'phone::%7' GROUP BY k""")
+SELECT k, count(*) AS n FROM keyed WHERE k IN (SELECT k FROM keyed WHERE rating = 'H') GROUP BY k""")
 def group_members(spark, folder):
     df = phoned(spark, folder)
     df = df.withColumn("k", sp.group_key(df))
-    keys = df.select("k").where(F.col("k").like("phone::%7")).distinct()
+    keys = df.where(F.col(v.RATING_RESULT) == "H").select("k")
     return df.join(keys, "k", "left_semi").groupBy("k").agg(F.count("*").alias("n"))
 
 
