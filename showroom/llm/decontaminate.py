@@ -208,7 +208,8 @@ def mark(
 ) -> DataFrame:
     """All columns of ``docs`` and a struct ``result``: words, hit words, longest match, items, hit spans.
 
-    ``spans`` lists start and end word of every hit stretch. With ``rewrite`` a further column of that
+    ``spans`` lists start and end word of every hit stretch; ``longest`` is 0 if no stretch of words known
+    to the items is as long as the shortest window. With ``rewrite`` a further column of that
     name holds the text without these stretches, or null where nothing is hit.
     """
     spark = docs.sparkSession

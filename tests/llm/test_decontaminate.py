@@ -77,7 +77,8 @@ def test_coverage_limit(make):
     docs = make([(1, "x a b c y"), (2, "a b x c d")], "doc_id bigint, text string")
     hit = lambda c: {r.doc_id: r.contamination.n_hit for r in dc.mark(docs, item, coverage=c).collect()}
     assert hit(0.5) == {1: 3, 2: 0} and hit(1.0) == {1: 0, 2: 0}
-    assert dc.mark(docs, item).first().contamination.longest == 3
+    assert dc.mark(docs, item, coverage=0.5).first().contamination.longest == 3
+    assert dc.mark(docs, item).first().contamination.longest == 0  # shorter than any window: not followed
 
 
 def test_empty_tables(make):
