@@ -35,6 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from showroom.llm.hashing import mix
 from showroom.llm.shared import exact, new_folder, written
 from showroom.llm.words import SPACES, buffer_of, separator_table, slices
 
@@ -121,14 +122,6 @@ def encode(texts: pa.Array, tokenizer, known: dict[str, np.ndarray], kind: type,
 
 # --- minimal perfect hash ---------------------------------------------------------------------
 
-def mix(keys: np.ndarray, seed: int) -> np.ndarray:
-    """A well-mixed 64-bit hash; different keys never agree for one seed."""
-    x = keys.astype(np.uint64) + np.uint64((seed * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) % (1 << 64))
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def fingerprint(keys: np.ndarray) -> np.ndarray:
     return (mix(keys, 1 << 20) >> np.uint64(32)).astype(np.uint32)
 
