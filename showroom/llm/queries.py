@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from showroom.llm import decontaminate, jaccard_join, token_files
+from showroom.llm import decontaminate, jaccard_join, mixing, token_files
 from showroom.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,29 @@ SELECT doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(r.
 FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id""")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.similar(table(spark, folder, "documents"))
+
+
+@query("op7_mixing", r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+    CAST('0x' || substr(md5('0' || chr(31) || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS key FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w FROM s),
+f AS (
+  SELECT *, CAST(sum(source_size) OVER () AS BIGINT) - 3 * CAST(coalesce(sum(source_size) OVER b, 0) AS BIGINT) AS remains,
+    CAST(sum(w) OVER () AS BIGINT) - CAST(coalesce(sum(w) OVER b, 0) AS BIGINT) AS weight FROM w
+  WINDOW b AS (ORDER BY source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT coalesce(max(remains / weight) FILTER (remains / weight * w <= 3 * source_size), 0.0) AS level FROM f),
+t AS (SELECT source, source_size, least(w * level, CAST(3 * source_size AS DOUBLE)) AS target FROM f, l),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(floor(target) / source_size) ELSE 0 END AS epochs FROM t),
+g AS (
+  SELECT d.doc_id, d.size, e.source_size, e.target, e.epochs, floor(e.target) - e.epochs * e.source_size AS rest,
+    CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) - d.size AS before
+  FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source)
+SELECT doc_id, size, source_size, target,
+  CAST(epochs * size + greatest(0, least(size, rest - before)) AS BIGINT) AS taken FROM g""")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    found = mixing.mix(docs)
+    mix = F.col("mix")
+    return found.select("doc_id", *[mix[c].alias(c) for c in ("size", "source_size", "target", "taken")])
