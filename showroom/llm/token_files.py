@@ -11,8 +11,8 @@ Files are written under a name of their own and then moved, and the content depe
 so a repeated task does no harm. ``pyarrow.fs`` opens them, so the folder may be on a
 shared disk or in a remote store.
 
-Texts are cut before ASCII white space that follows other than white space, where the tokenizer's own
-rule cuts as well. The different pieces of a slice go through the tokenizer once each.
+Texts are cut at places where the tokenizer's own rule cuts whatever stands around. The different pieces of a
+slice go through the tokenizer once each.
 
 Defined cases: a null or empty text has the end id only; documents of equal key stand next to
 each other, ordered by a hash of the text, and a look-up answers all of them; documents without key come
@@ -22,6 +22,7 @@ first and cannot be looked up; an empty table gives files without documents.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import uuid
 import zlib
@@ -42,7 +43,9 @@ from showroom.llm.words import SPACES, buffer_of, separator_table, slices
 END = 2
 SHARD_BYTES = 64 << 20
 #: Pieces remembered by a task from slice to slice.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
+#: Plain pieces that go through the tokenizer in one text.
+JOINED = 512
 MAGIC = b"SHWTOK01"
 #: Bits per key on each level of the index.
 GAMMA = 2
@@ -56,29 +59,47 @@ _WIDE_SPACES_2 = [(0xC2, 0x85), (0xC2, 0xA0)]
 _WIDE_SPACES_3 = [
     (0xE1, 0x9A, 0x80, 0x80), (0xE2, 0x80, 0x80, 0x8A), (0xE2, 0x80, 0xA8, 0xA9), (0xE2, 0x80, 0xAF, 0xAF),
     (0xE2, 0x81, 0x9F, 0x9F), (0xE3, 0x80, 0x80, 0x80)]
+#: Kinds of bytes: 1 white space, 2 letters and digits, 3 other ASCII, 0 beyond ASCII.
+_KIND = np.zeros(256, dtype=np.uint8)
+_KIND[:128] = 3
+_KIND[[*range(48, 58), *range(65, 91), *range(97, 123)]] = 2
+_KIND[list(SPACES)] = 1
+
+
+def _after_wide_space(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which of the places ``at``, all behind a byte beyond ASCII, follow white space beyond ASCII."""
+    c, b, a = data[at - 1], data[np.maximum(at - 2, 0)], data[np.maximum(at - 3, 0)]
+    blank = np.zeros(len(at), dtype=bool)
+    for x, y in _WIDE_SPACES_2:
+        blank |= (b == x) & (c == y)
+    for x, y, low, high in _WIDE_SPACES_3:
+        blank |= (a == x) & (b == y) & (c >= low) & (c <= high)
+    return blank
 
 
 def pieces_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """Numbers of the pieces, the different pieces, and the first piece of every text."""
+    """Numbers of the pieces, the different pieces, and the first piece of every text.
+
+    A text is cut before ASCII white space behind anything else, behind a single line break before
+    ASCII, and between a letter or digit and ASCII punctuation. The tokenizer cuts there as well, and what
+    it does to a piece does not depend on the text around.
+    """
     data, offsets = buffer_of(texts)
-    space = separator_table(SPACES)[data]
+    if len(data) == 0:
+        return np.zeros(0, np.int64), pa.array([], pa.large_string()), np.zeros(len(offsets), np.int64)
+    kind = _KIND[data]
+    space, word = kind == 1, kind == 2
     cut = np.zeros(len(data) + 1, dtype=bool)
     cut[1:-1] = space[1:] & ~space[:-1]
-    wide = np.flatnonzero(cut[:-1])
-    wide = wide[(wide > 0)]
-    wide = wide[data[wide - 1] >= 0x80]
-    if len(wide):
-        c, b, a = data[wide - 1], data[np.maximum(wide - 2, 0)], data[np.maximum(wide - 3, 0)]
-        blank = np.zeros(len(wide), dtype=bool)
-        for x, y in _WIDE_SPACES_2:
-            blank |= (b == x) & (c == y)
-        for x, y, low, high in _WIDE_SPACES_3:
-            blank |= (a == x) & (b == y) & (c >= low) & (c <= high)
-        cut[wide[blank]] = False
+    wide = np.flatnonzero(cut[1:-1] & (kind[:-1] == 0)) + 1
+    cut[wide[_after_wide_space(data, wide)]] = False
+    breaks = np.flatnonzero(cut[:-2] & space[:-1] & (data[:-1] != 0x20) & ~space[1:] & (kind[1:] != 0)) + 1
+    latin = (data[1:] & 0xC0 == 0x80) & (data[1:] != 0x97) & (data[1:] != 0xB7) & (data[:-1] == 0xC3)
+    word[1:] |= latin
+    cut[1:-1] |= word[:-1] & (kind[1:] == 3)
+    cut[breaks] = True
     cut[offsets] = True
     borders = np.flatnonzero(cut).astype(np.int64)
-    if len(data) == 0:
-        return np.zeros(0, np.int64), pa.array([], pa.large_string()), np.zeros(len(offsets), np.int64)
     array = pa.Array.from_buffers(
         pa.large_string(), len(borders) - 1, [None, pa.py_buffer(borders), pa.py_buffer(np.ascontiguousarray(data))])
     coded = array.dictionary_encode()
@@ -95,29 +116,79 @@ def _tokenizer(path: str):
     return tokenizer
 
 
-def encode(texts: pa.Array, tokenizer, known: dict[str, np.ndarray], kind: type, end: int = END) -> tuple[np.ndarray, np.ndarray]:
-    """All ids of the texts with ``end`` after each, and the first id of each text."""
+class Pieces:
+    """Ids of the pieces met so far, behind each other in one array; forgotten when they are too many."""
+
+    def __init__(self, tokenizer, kind: type, end: int):
+        self.tokenizer, self.kind, self.end = tokenizer, kind, end
+        line = tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line = line[0] if len(line) == 1 else None
+        self._clear()
+
+    def _clear(self) -> None:
+        # Number 0 is the end id.
+        self.number: dict[str, int] = {}
+        self.flat, self.begin, self.size = np.array([self.end], self.kind), np.zeros(1, np.int64), np.ones(1, np.int64)
+
+    def numbers(self, names: list[str]) -> np.ndarray:
+        found = np.fromiter(map(self.number.get, names, itertools.repeat(-1)), np.int64, len(names))
+        new = np.flatnonzero(found < 0)
+        if len(new) == 0:
+            return found
+        if len(self.number) and len(self.number) + len(new) > REMEMBERED:
+            self._clear()
+            return self.numbers(names)
+        plain = np.fromiter((_is_plain(names[i]) for i in new), bool, len(new)) if self.line is not None else np.zeros(len(new), bool)
+        for part, ids_of in ((new[plain], self._joined), (new[~plain], self._single)):
+            if len(part):
+                fresh_ = [names[i] for i in part]
+                flat, size = ids_of(fresh_)
+                found[part] = np.arange(len(part)) + len(self.size)
+                self.number.update(zip(fresh_, found[part].tolist(), strict=True))
+                self.begin = np.concatenate([self.begin, np.cumsum(size) - size + len(self.flat)])
+                self.size = np.concatenate([self.size, size])
+                self.flat = np.concatenate([self.flat, flat])
+        return found
+
+    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(itertools.chain.from_iterable(ids), self.kind, int(size.sum())), size
+
+    def _single(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return self._encoded(names)
+
+    def _joined(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain pieces from lines of text: a line break between two is a token of its own."""
+        lines = ["\n".join(names[i : i + JOINED]) + "\n" for i in range(0, len(names), JOINED)]
+        flat, _ = self._encoded(lines)
+        ends = np.flatnonzero(flat == self.line)
+        if len(ends) != len(names):
+            raise ValueError("the tokenizer doesn't keep line breaks apart")
+        return flat[flat != self.line], np.diff(np.concatenate([[-1], ends])) - 1
+
+
+def _is_plain(piece: str) -> bool:
+    """No white space but one leading space: such a piece keeps its ids between line breaks."""
+    words = piece.split()
+    return len(words) == 1 and (len(words[0]) == len(piece) or (len(words[0]) == len(piece) - 1 and piece[0] == " "))
+
+
+def encode(texts: pa.Array, known: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of the texts with the end id after each, and the first id of each text."""
     codes, pieces, bounds = pieces_of(texts)
-    names = pieces.to_pylist()
-    ids = [known.get(n) for n in names]
-    new = [i for i, x in enumerate(ids) if x is None]
-    if len(known) + len(new) > REMEMBERED:
-        known.clear()
-    for i, x in zip(new, tokenizer.encode_batch_fast([names[i] for i in new], add_special_tokens=False), strict=True):
-        ids[i] = known[names[i]] = np.array(x.ids, kind)
+    numbers = known.numbers(pieces.to_pylist())
     n = len(bounds) - 1
-    size = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat = np.concatenate([*ids, np.zeros(0, kind)])
-    begin = np.cumsum(size) - size
-    length = size[codes] if len(codes) else np.zeros(0, np.int64)
-    before = np.concatenate([[0], np.cumsum(length)])
-    # Ids of the pieces one after the other; each text leaves one place for its end id.
-    source = np.repeat((begin[codes] if len(codes) else length) - before[:-1], length) + np.arange(before[-1])
-    starts = before[bounds] + np.arange(n + 1)
-    out = np.full(before[-1] + n, end, kind)
-    text_of = np.repeat(np.arange(n), np.diff(before[bounds]))
-    out[np.arange(before[-1]) + text_of] = flat[source]
-    return out, starts
+    ends = bounds[1:] + np.arange(n)
+    order = np.zeros(len(codes) + n, np.int64)  # the end id, except where there is a piece
+    inner = np.ones(len(order), dtype=bool)
+    inner[ends] = False
+    order[inner] = numbers[codes]
+    size = known.size[order]
+    after = np.cumsum(size)
+    source = np.repeat(known.begin[order] - after + size, size)
+    source += np.arange(len(source))
+    return known.flat[source], np.concatenate([[0], after[ends]])
 
 
 # --- minimal perfect hash ---------------------------------------------------------------------
@@ -259,11 +330,11 @@ def write(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
-        model, known = _tokenizer(tokenizer), {}
+        known = Pieces(_tokenizer(tokenizer), np.dtype(f"u{width}").type, end)
         writer = ShardWriter(folder, shard, width)
         for whole in batches:
             for batch in slices(whole, "text"):
-                writer.add(batch["key"], *encode(batch["text"], model, known, np.dtype(f"u{width}").type, end))
+                writer.add(batch["key"], *encode(batch["text"], known))
         n_docs, n_ids = writer.close()
         yield pa.RecordBatch.from_pylist([{"shard": shard, "n_docs": n_docs, "n_ids": n_ids}], _EMPTY)
 

@@ -15,28 +15,32 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 SPACES = " \t\n\r\x0b\x0c\x1c\x85\xa0     　"
 
 
+def pieces():
+    return tf.Pieces(tf._tokenizer(PATH), np.uint16, tf.END)
+
+
 def whole(texts):
     return [x.ids + [tf.END] for x in tf._tokenizer(PATH).encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.lists(st.one_of(st.none(), st.text(st.one_of(st.sampled_from(SPACES + "aZé's'll9!<|"), st.characters(codec="utf-8")), max_size=40)), max_size=6))
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(st.one_of(st.sampled_from(SPACES + "aZé×÷ñ's'll9!<|*.,…"), st.characters(codec="utf-8")), max_size=40)), max_size=6))
 def test_pieces_encode_as_whole_texts(texts):
-    ids, starts = tf.encode(pa.array(texts, pa.string()), tf._tokenizer(PATH), {}, np.uint16)
+    ids, starts = tf.encode(pa.array(texts, pa.string()), pieces())
     assert [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:])] == whole(texts)
 
 
 def test_special_strings_are_text():
     texts = ["a<|endoftext|>b", " <|endoftext|>"]
-    ids, starts = tf.encode(pa.array(texts), tf._tokenizer(PATH), {}, np.uint16)
+    ids, starts = tf.encode(pa.array(texts), pieces())
     assert 50256 not in ids and [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:])] == whole(texts)
 
 
 def test_a_forgotten_piece_is_encoded_again(monkeypatch):
     monkeypatch.setattr(tf, "REMEMBERED", 3)
-    known = {}
+    known = pieces()
     for texts in (["a b c d"], ["c d e f"], ["a b"]):
-        ids, _ = tf.encode(pa.array(texts), tf._tokenizer(PATH), known, np.uint16)
+        ids, _ = tf.encode(pa.array(texts), known)
         assert ids.tolist() == whole(texts)[0]
 
 
