@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from showroom.llm import decontaminate, jaccard_join, mixing, token_files
+from showroom.llm import decontaminate, jaccard_join, language_id, mixing, secrets, token_files
 from showroom.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,21 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     found = mixing.mix(docs)
     mix = F.col("mix")
     return found.select("doc_id", *[mix[c].alias(c) for c in ("size", "source_size", "target", "taken")])
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    model = language_id.train(docs.where(~held_out), key=F.col("doc_id"))
+    return language_id.predict(docs.select("doc_id", "text", held_out.alias("held_out")), model).drop("text")
+
+
+@query("op10_secret_scan")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.train(docs, key=F.col("doc_id")))
+    of = F.col("secrets")
+    return found.select(
+        "doc_id", *[of[c].alias(c) for c in ("n_assign", "n_access", "n_hex", "n_markov")],
+        F.sha2(of["base"], 256).alias("base_sha256"), of["spans"].alias("spans"))
