@@ -339,6 +339,7 @@ def similar(
     of_component = least.join(joined.withColumnRenamed("node", "sig"), "sig").groupBy("component").agg(F.min("least").alias("least"))
     of_class = joined.join(of_component, "component").select(F.col("node").alias("sig"), F.col("least").alias("joined"))
     least = least.join(of_class, "sig", "left").select("sig", F.coalesce("joined", "least").alias("component_id"))
+    least = written(least, "ngram-components")  # with an exchange of its own the last join can split a hot class
     return known.join(least, "sig", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from showroom.llm import decontaminate, jaccard_join, language_id, mixing, secrets, token_files
+from showroom.llm import decontaminate, jaccard_join, language_id, mixing, quality, secrets, token_files
 from showroom.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,13 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", *[of[c].alias(c) for c in ("n_assign", "n_access", "n_hex", "n_markov")],
         F.sha2(of["base"], 256).alias("base_sha256"), of["spans"].alias("spans"))
+
+
+@query("op9_quality_classifier")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    judged = quality.judge(docs, table(spark, folder, "labels"))
+    of = F.col("quality")
+    return judged.select(
+        "doc_id", of["document"].alias("document_score"), of["host"].alias("host_rate"), of["path"].alias("path_rate"),
+        of["score"].alias("score"), of["kept"].alias("keep"))
