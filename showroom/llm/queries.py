@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from showroom.llm import decontaminate, jaccard_join, language_id, mixing, quality, secrets, token_files
+from showroom.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing, quality, secrets, token_files, url_filter
 from showroom.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +135,32 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select(
         "doc_id", of["document"].alias("document_score"), of["host"].alias("host_rate"), of["path"].alias("path_rate"),
         of["score"].alias("score"), of["kept"].alias("keep"))
+
+
+@query("op2_line_dedup", r"""
+WITH d AS (SELECT doc_id, source, string_split(text, chr(10)) AS ls FROM documents),
+c AS (
+  SELECT line FROM (SELECT DISTINCT source, unnest([trim(x) FOR x IN ls]) AS line FROM d WHERE source IS NOT NULL)
+  WHERE line <> '' GROUP BY line HAVING count(*) >= 10),
+k AS (SELECT list(line) AS cs FROM c),
+r AS (SELECT doc_id, ls, [x FOR x IN ls IF NOT coalesce(list_contains(cs, trim(x)), false)] AS kept FROM d, k)
+SELECT doc_id, CAST(coalesce(len(ls), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(ls) - len(kept), 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(array_to_string(kept, chr(10)), '')) AS text_sha256 FROM r""")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    clean = line_dedup.without_boilerplate(docs)
+    of = F.col("lines")
+    return clean.select("doc_id", of["n_lines"].alias("n_lines"), of["n_removed"].alias("n_removed"), F.sha2(F.coalesce(of["text"], F.lit("")), 256).alias("text_sha256"))
+
+
+#: The rules of the query, as given.
+URL_RULES = [
+    url_filter.Rule("allow", "org", "/"), url_filter.Rule("block", "example.org", "/es/"), url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"), url_filter.Rule("block", "com", "/de/")]
+
+
+@query("op3_url_filter")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    judged = url_filter.judge(pages, URL_RULES)
+    return judged.select("page_id", *[F.col("url_verdict")[c].alias(c) for c in ("host", "path", "rule", "verdict")])
