@@ -40,7 +40,7 @@ def boilerplate(
 ) -> DataFrame:
     """Rows (line) with the hashes of lines on ``sites`` or more sites, from a stored table."""
     lines = docs.where(exact(site).isNotNull()).select(
-        exact(site).cast("string").alias("site"), F.explode(F.array_distinct(F.transform(_lines(exact(text).cast("string")), F.trim))).alias("line"))
+        exact(site).cast("string").alias("site"), F.explode(F.array_distinct(F.transform(_lines(exact(text).cast("string")), lambda x: F.trim(x)))).alias("line"))
     lines = lines.where("line <> ''").select("site", F.xxhash64("line").alias("line"))
     sketches = lines.groupBy("line").agg(F.hll_sketch_agg("site", log_size).alias("sketch"))
     band = _band(sites, log_size)
