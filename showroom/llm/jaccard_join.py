@@ -305,7 +305,7 @@ def links_of(classes: DataFrame, percent: int) -> DataFrame:
     tested = written(_overlaps(near, classes).select("a", "n", "m", "b", "nb", "o", linked), "pivot-pairs")
 
     x, y = tested.where("NOT linked").alias("x"), tested.alias("y")
-    bound = "least(x.o, y.o) + least(x.m - x.o, y.m - y.o)"
+    bound = "(least(x.o, y.o) + least(x.m - x.o, y.m - y.o))"
     open_ = x.join(y, F.expr(
         f"x.b = y.b AND x.a <> y.a AND (y.linked OR x.a < y.a) AND {bound} * {100 + percent} >= {percent} * (x.n + y.n)"))
     open_ = open_.select(F.col("x.a").alias("a"), F.col("y.a").alias("b"), F.col("x.n").alias("n"), F.col("y.n").alias("nb")).distinct()
