@@ -79,9 +79,9 @@ def match_statistics(merged: DataFrame, feature: str = v.BEHAVIOR_FEATURES[0]) -
     return stats.withColumn("match_rate", F.coalesce(F.try_divide(F.col("matched"), F.col("total")), F.lit(0.0)))
 
 
-def union_parts(parts: dict[str, DataFrame], first: int | None = 2) -> DataFrame:
-    """UNION ALL of the data parts of one source. Parts whose name holds "query" are skipped,
-    and by default only the first two data parts count, as in the exported workbooks."""
+def union_parts(parts: dict[str, DataFrame], first: int | None = None) -> DataFrame:
+    """UNION ALL of the data parts of one source. Parts whose name holds "query" are skipped;
+    ``first`` keeps that many data parts only, as exported workbooks with summary parts need."""
     names = [n for n in parts if "query" not in n.lower()]
     names = names[:first] if first else names
     if not names:

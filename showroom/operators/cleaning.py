@@ -13,7 +13,7 @@ from showroom.functions.cells import named
 from showroom.operators.contract import column_facts
 from showroom.operators.ordering import exact_quantiles
 from showroom.operators.profiling import distinct_counts, duplicate_summary, text_columns, wide_aggregate
-from showroom.session import cut_lineage
+from showroom.session import hand_over
 
 MIN_VALUES_FOR_SKEW = 10
 CHECKED_NUMBERS = (T.LongType, T.IntegerType, T.DoubleType, T.FloatType)
@@ -153,7 +153,7 @@ def clean(
         # The cheap fingerprint pass decides whether the wide shuffle is needed at all.
         log.dropped_rows = duplicate_summary(out).first()["duplicate_rows"]
         if log.dropped_rows:
-            out = cut_lineage(drop_duplicates(out))
+            out = hand_over(drop_duplicates(out), "distinct")
     log.rows_after = log.rows_before - log.dropped_rows
     log.columns_after = len(out.columns)
     numbers, texts = checked_numbers(out), text_columns(out)

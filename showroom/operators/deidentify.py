@@ -10,7 +10,7 @@ from showroom import vocab as v
 from showroom.functions import masks
 from showroom.functions.cells import is_text, named
 from showroom.operators.ordering import global_rank
-from showroom.session import broadcast_checked
+from showroom.session import stored_lookup
 
 
 def _names(column: str, words: list[str]) -> bool:
@@ -91,7 +91,7 @@ def pseudonyms(df: DataFrame, columns: list[str], prefix: str) -> DataFrame:
 def apply_pseudonyms(df: DataFrame, columns: list[str], codes: DataFrame) -> DataFrame:
     """Replace every listed column by its code."""
     order = df.columns
-    codes = broadcast_checked(codes)
+    codes = stored_lookup(codes)
     for c in columns:
         table = codes.select(F.col("value").alias("__value"), F.col("code").alias("__code"))
         df = df.join(table, named(c) == F.col("__value"), "left")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from showroom import vocab as v
-from showroom.session import broadcast_checked
+from showroom.session import stored_lookup
 from showroom.functions.cells import (
     add_all, any_of, as_time, flag, hours_between, is_blank, is_text, is_time, named, number, sure,
 )
@@ -96,10 +96,10 @@ def transform(df: DataFrame, heat: DataFrame | None = None, time_columns: list[s
     new = interaction_columns(out)
     out = out.withColumns(new) if new else out
     if v.CITY in df.columns and v.CAR in df.columns:
-        out = add_heat(out, heat if heat is not None else broadcast_checked(fit_heat(df)))
+        out = add_heat(out, heat if heat is not None else stored_lookup(fit_heat(df)))
     return out
 
 
 def fit_transform(df: DataFrame, **options) -> tuple[DataFrame, DataFrame | None]:
-    heat = broadcast_checked(fit_heat(df)) if v.CITY in df.columns and v.CAR in df.columns else None
+    heat = stored_lookup(fit_heat(df)) if v.CITY in df.columns and v.CAR in df.columns else None
     return transform(df, heat, **options), heat

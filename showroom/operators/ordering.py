@@ -19,8 +19,7 @@ from showroom.functions.cells import named
 from showroom.session import cut_lineage
 
 SLICE = "__slice"
-SMALL_ROWS = 100_000
-ACCURACY = 10_000
+BUCKETS = 1024
 
 
 def running_totals(
@@ -31,16 +30,11 @@ def running_totals(
 ) -> DataFrame:
     """Append, per row, the sums over all earlier rows of its ``by`` group (row excluded).
 
-    ``order`` must be unique within a group. A table counted as small takes one window per group;
-    in a larger one a group may span many slices.
+    ``order`` must be unique within a group. A group may span many slices.
     """
     by = list(by)
     inputs = {f"__in_{name}": value for name, value in sums.items()}
     rows = cut_lineage(df.withColumns(inputs))
-    if rows.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
-        before = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        totals = {n: F.coalesce(F.sum(f"__in_{n}").over(before), F.lit(0)) for n in sums}
-        return rows.withColumns(totals).drop(*inputs)
     return _sliced_totals(rows, order, list(sums), by).drop(*inputs)
 
 
@@ -97,65 +91,52 @@ def unpivot_texts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """Rows (column, p, quantile): exact quantiles with linear interpolation.
 
-    An approximate quantile with a guaranteed rank error brackets the wanted position. One
-    aggregation counts the values below each bracket and only the few values inside are ordered.
-    Equal values are merged first, so a hot value is one row. A column with few values, or one whose
-    bracket missed, is ordered whole. The result has one row per column and probability.
+    Values are counted by ``BUCKETS`` buckets of their signed logarithm, which keep the order of the values. Running sums
+    over the buckets of a column find those that hold a wanted position, and only the values in these are ordered. Equal
+    values are merged first, so a hot value is one row. The result has one row per column and probability.
     """
     columns, ps = list(columns), [float(p) for p in probabilities]
-    margin = 2.0 / ACCURACY
-    low = lambda p: max(0.0, p - margin)
-    high = lambda p: min(1.0, p + margin)
     value = {c: named(c).cast("double") for c in columns}
-    row = df.agg(
-        *[F.count(value[c]).alias(f"n{i}") for i, c in enumerate(columns)],
-        *[
-            F.percentile_approx(value[c], [x for p in ps for x in (low(p), high(p))], ACCURACY).alias(f"q{i}")
-            for i, c in enumerate(columns)
-        ],
-    ).first()
+    scale = {c: F.when(_finite(value[c]), F.signum(value[c]) * F.log1p(F.abs(value[c]))) for c in columns}
+    row = df.agg(*[
+        x for i, c in enumerate(columns)
+        for x in (F.count(value[c]).alias(f"n{i}"), F.min(scale[c]).alias(f"a{i}"), F.max(scale[c]).alias(f"b{i}"))]).first()
     totals = {c: row[f"n{i}"] for i, c in enumerate(columns)}
-    whole = [c for c in columns if 0 < totals[c] <= SMALL_ROWS]
-    brackets = {}
-    for i, c in enumerate(columns):
-        if totals[c] > SMALL_ROWS:
-            for j, p in enumerate(ps):
-                edge = row[f"q{i}"]
-                brackets[c, p] = (edge[2 * j] if low(p) > 0 else None, edge[2 * j + 1] if high(p) < 1 else None)
-
-    found = _bracketed(df, brackets, totals) if brackets else {}
-    whole += sorted({c for c, p in brackets if (c, p) not in found})
-    if whole:
-        counts = unpivot_numbers(df, whole).groupBy(F.col("column").alias("g"), "value").agg(F.count("*").alias("n"))
-        found |= _at_positions(counts, [(c, c, p, p * (totals[c] - 1), 0) for c in whole for p in ps])
-    rows = [(c, p, q) for (c, p), q in found.items()]
-    return df.sparkSession.createDataFrame(rows, "column string, p double, quantile double")
-
-
-def _bracketed(df: DataFrame, brackets: dict, totals: dict[str, int]) -> dict:
-    """Quantiles found inside their brackets; a bracket that misses its position is left out."""
-    keys = list(brackets)
-    value = lambda c: named(c).cast("double")
-    below = df.agg(*[
-        (F.count_if(value(c) < lo) if lo is not None else F.lit(0).cast("bigint")).alias(f"b{i}")
-        for i, (c, p) in enumerate(keys) for lo in [brackets[c, p][0]]
-    ]).first()
-
-    def inside(c: str, bounds: tuple) -> Column:
-        test = value(c).isNotNull()
-        test = test & (value(c) >= bounds[0]) if bounds[0] is not None else test
-        return test & (value(c) <= bounds[1]) if bounds[1] is not None else test
-
-    cells = F.array(*[
-        F.when(inside(c, brackets[c, p]), F.struct(F.lit(str(i)).alias("g"), value(c).alias("value")))
-        for i, (c, p) in enumerate(keys)
-    ])
-    counts = (
-        df.select(F.explode(F.filter(cells, lambda x: x.isNotNull())).alias("x")).select("x.g", "x.value")
-        .groupBy("g", "value").agg(F.count("*").alias("n"))
-    )
-    marks = [(str(i), c, p, p * (totals[c] - 1), below[f"b{i}"]) for i, (c, p) in enumerate(keys)]
-    return _at_positions(counts, marks)
+    used = [c for c in columns if totals[c]]
+    bucket = {c: _bucket(value[c], scale[c], row[f"a{i}"], row[f"b{i}"]) for i, c in enumerate(columns)}
+    spark = df.sparkSession
+    if not used:
+        return spark.createDataFrame([], "column string, p double, quantile double")
+
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), bucket[c].alias("bucket")) for c in used]))
+    counts = df.select(cells.alias("x")).select("x.*").where("bucket IS NOT NULL").groupBy("column", "bucket").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("column").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    wanted = spark.createDataFrame([(c, p, p * (totals[c] - 1)) for c in used for p in ps], "of string, p double, position double")
+    covers = lambda f: (f("position") >= F.col("before")) & (f("position") < F.col("before") + F.col("n"))
+    holding = counts.join(F.broadcast(wanted), (F.col("column") == F.col("of")) & (covers(F.floor) | covers(F.ceil))).collect()
+    marks = [(f"{r['column']}/{r['bucket']}", r["column"], r["p"], r["position"], r["before"]) for r in holding]
+
+    held = {c: sorted({r["bucket"] for r in holding if r["column"] == c}) for c in used}
+    inside = F.array(*[
+        F.when(bucket[c].isin(held[c]), F.struct(F.concat(F.lit(f"{c}/"), bucket[c].cast("string")).alias("g"), value[c].alias("value")))
+        for c in used])
+    merged = df.select(F.explode(F.filter(inside, lambda x: x.isNotNull())).alias("x")).select("x.g", "x.value")
+    found = _at_positions(merged.groupBy("g", "value").agg(F.count("*").alias("n")), marks)
+    return spark.createDataFrame([(c, p, q) for (c, p), q in found.items()], "column string, p double, quantile double")
+
+
+def _finite(x: Column) -> Column:
+    return ~F.isnan(x) & (F.abs(x) < float("inf"))
+
+
+def _bucket(value: Column, scale: Column, low: float | None, high: float | None) -> Column:
+    """Number of the bucket, in the order of the values: -inf first, inf and NaN last; NULL stays."""
+    if low is None or low == high:
+        place = F.lit(0)
+    else:
+        place = F.least(F.floor((scale - low) / (high - low) * BUCKETS), F.lit(BUCKETS - 1))
+    return F.when(_finite(value), place).when(value == float("-inf"), -1).when(value.isNotNull(), BUCKETS).cast("int")
 
 
 def _at_positions(counts: DataFrame, marks: list[tuple]) -> dict:

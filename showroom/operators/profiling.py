@@ -10,7 +10,7 @@ from showroom import vocab as v
 from showroom.functions.cells import is_number, named, one_row
 from showroom.operators.contract import EXPRESSIONS_PER_PASS
 from showroom.operators.ordering import unpivot_texts, value_counts
-from showroom.session import broadcast_checked
+from showroom.session import stored_lookup
 
 HIGH_MISSING, MEDIUM_MISSING = 50.0, 10.0
 IMBALANCE_LIMIT = 10.0
@@ -43,7 +43,7 @@ def duplicate_summary(df: DataFrame) -> DataFrame:
     """
     every = [named(c) for c in df.columns]
     marked = df.withColumn("__mark", F.xxhash64(*every))
-    repeated = broadcast_checked(marked.groupBy("__mark").agg(F.count("*").alias("n")).where("n > 1"))
+    repeated = stored_lookup(marked.groupBy("__mark").agg(F.count("*").alias("n")).where("n > 1"))
     suspects = marked.join(repeated.select("__mark"), "__mark", "left_semi")
     distinct = suspects.groupBy(*every).agg(F.lit(1).alias("one")).agg(F.count("*").alias("n"))
     # Rows that look repeated, less the distinct ones among them, are the duplicates.

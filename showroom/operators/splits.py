@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from showroom import vocab as v
 from showroom.functions.cells import as_time, micros, named, one_row
 from showroom.operators.ordering import exact_quantiles
-from showroom.session import broadcast_checked, cut_lineage
+from showroom.session import stored_lookup, cut_lineage
 
 TRAIN, VALID, TEST = "train", "valid", "test"
 SPLIT = "split"
@@ -82,7 +82,7 @@ def _cuts(df: DataFrame, stratum: str, row_id: str, seed: int, sizes: Sizes) ->
         F.col("__stratum").alias("s"), F.col("__bucket").alias("b"), "part",
         (F.col("end") - F.col("__before")).alias("nth"))
     inside = rows.join(
-        broadcast_checked(holding), F.col("__stratum").eqNullSafe(F.col("s")) & (F.col("__bucket") == F.col("b")))
+        stored_lookup(holding), F.col("__stratum").eqNullSafe(F.col("s")) & (F.col("__bucket") == F.col("b")))
     order = Window.partitionBy("s", "b", "part").orderBy("__hash", "__id")
     last = inside.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") == F.col("nth"))
     point = F.struct("__hash", "__id")
@@ -106,7 +106,7 @@ def stratified_split(
     """Exact part sizes per class of ``target``; ``row_id`` must be unique."""
     if drop_null_target:
         df = df.where(named(target).isNotNull())
-    cuts = broadcast_checked(_cuts(df, target, row_id, seed, sizes))
+    cuts = stored_lookup(_cuts(df, target, row_id, seed, sizes))
     names = [c.removeprefix("__cut_") for c in cuts.columns if c != "__s"]
     joined = df.join(cuts, named(target).eqNullSafe(F.col("__s")), "left").drop("__s")
     return _labelled(joined, row_id, sizes, seed, names)

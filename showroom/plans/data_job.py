@@ -37,7 +37,7 @@ def run_step(step: str, df: DataFrame, **options) -> tuple[DataFrame, object]:
 
 
 def run_all(
-    leads: DataFrame, log: DataFrame | None = None, target: str | None = None, skip: Sequence[str] = ("profile",),
+    leads: DataFrame, log: DataFrame | None = None, target: str | None = None, skip: Sequence[str] = (),
     output: str | None = None, **options,
 ) -> tuple[DataFrame, dict]:
     """Chain of steps in one session. A failing step stops the job. Nothing is written between the

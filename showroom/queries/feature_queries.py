@@ -123,7 +123,7 @@ SELECT coalesce(city, '未知') AS hc, coalesce(car, '未知') AS hk, count(*) A
 SELECT id, coalesce(heat, 0) AS heat FROM leads LEFT JOIN heat ON hc = coalesce(city, '未知') AND hk = coalesce(car, '未知')""")
 def heat_lookup(spark, folder):
     df = leads(spark, folder, "place", "car")
-    heat = ft.broadcast_checked(ft.fit_heat(df.where(F.col(v.CREATED) < "1996-01-01")))
+    heat = ft.stored_lookup(ft.fit_heat(df.where(F.col(v.CREATED) < "1996-01-01")))
     return tidy(ft.add_heat(df, heat).select(lead_id(), F.col("城市车型热度").alias("heat")))
 
 

@@ -61,7 +61,7 @@ def sql_scan(spark, folder):
 
 @query("s8_union_parts", """
 SELECT o_orderstatus, count(*) AS n, CAST(sum(o_custkey) AS BIGINT) AS keys
-FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY o_orderstatus""")
+FROM orders GROUP BY o_orderstatus""")
 def union_parts(spark, folder):
     orders = table(spark, folder, "orders")
     part = lambda s: orders.where(F.col("o_orderstatus") == s)
@@ -102,6 +102,25 @@ def text_to_parquet(spark, folder):
         F.count("*").alias("n"), F.count_distinct("user_id").alias("users"))
 
 
+@query("s11_folder_to_parquet", """
+SELECT part, count(*) AS n, count(DISTINCT user_id) AS users FROM (
+  SELECT CASE WHEN event_type = 'purchase' THEN 'a' ELSE 'b' END AS part, user_id FROM events) GROUP BY part""")
+def folder_to_parquet(spark, folder):
+    """Two subfolders whose files have the same names; every file becomes a table of its own."""
+    source, target = _folder(spark, folder, "event-files"), _folder(spark, folder, "event-tables")
+    events = table(spark, folder, "events").select("event_id", "user_id", "event_type")
+    parts = {"a": events.where("event_type = 'purchase'"), "b": events.where("event_type <> 'purchase' OR event_type IS NULL")}
+    out = None
+    for name, rows in parts.items():
+        writers.write_delimited(rows, f"{source}/{name}")
+    done = writers.convert_folder(spark, source, target)
+    for path in done:
+        below = "/".join(path.rsplit("/", 2)[-2:])
+        rows = spark.read.parquet(f"{target}/{below}.parquet").select(F.lit(below[0]).alias("part"), "user_id")
+        out = rows if out is None else out.unionByName(rows)
+    return out.groupBy("part").agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("users"))
+
+
 @query("s7_behavior_log", """
 SELECT '138' || lpad(CAST(user_id AS VARCHAR), 8, '0') AS phone, epoch_us(ts) AS at,
        CASE event_type WHEN 'purchase' THEN 'submitOrder' WHEN 'view' THEN 'testDrive' ELSE event_type END AS event

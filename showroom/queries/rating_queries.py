@@ -33,12 +33,6 @@ def _window_sql(p7, p14, p21):
     return f"CASE WHEN {p7} >= 0.5 THEN 'H' WHEN {p14} >= 0.5 THEN 'A' WHEN {p21} >= 0.5 THEN 'B' ELSE 'C' END"
 
 
-def _graded(grade, score, stage="'试驾前'"):
-    return STATUS_SQL + f""", g AS (SELECT id, CASE WHEN is_ordered THEN 'O' WHEN is_invalid THEN 'N' ELSE {grade} END AS rating,
-  CASE WHEN is_ordered THEN 'O' WHEN is_invalid THEN '无效' ELSE {stage} END AS stage, {score} AS raw FROM status)
-SELECT id, rating, stage, round(CASE rating WHEN 'O' THEN 100 WHEN 'N' THEN 0 ELSE raw END, 1) AS score FROM g"""
-
-
 def _short(df):
     return tidy(df.select(lead_id(), F.col("评级").alias("rating"), F.col("阶段").alias("stage"), F.col("__raw").alias("score")))
 
@@ -89,9 +83,6 @@ def rating_distribution(spark, folder):
     return rt.rating_distribution(rt.add_rating(status_leads(spark, folder), "medium", drive()))
 
 
-PCT = "printf('%.1f%%', {0} * 100)"
-
-
 @query("r6_hab_rating", LEADS_SQL + """, g AS (SELECT id, p7, p14, p21, CASE WHEN p7 >= 0.5 THEN 'H' WHEN p14 >= 0.5 THEN 'A' WHEN p21 >= 0.5 THEN 'B' ELSE 'N' END AS rating FROM leads)
 SELECT id, rating, round(CASE WHEN rating = 'N' THEN greatest(p7, p14, p21) ELSE least(greatest(p7, p14, p21), 1) END, 6) AS confidence,
  CASE rating WHEN 'H' THEN '高意向，7天内计划试驾（P(7天试驾)=' || printf('%.2f%%', p7 * 100) || '）'

@@ -9,8 +9,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
-
 
 def local_session(cores: str = "*", app: str = "showroom", **extra: str) -> SparkSession:
     """A session for tests and benchmarks; a cluster brings its own."""
@@ -61,15 +59,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Write a small side once, count it, and broadcast it only if it is small.
-
-    Knowing the size before the plan is made keeps the wide side of the join from being shuffled
-    for nothing; beyond the limit the join runs by key as usual.
-    """
-    table = cut_lineage(df)
-    small = table.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(table) if small else table
+def stored_lookup(df: DataFrame) -> DataFrame:
+    """The small side of a join as a stored table: Spark knows its bytes and broadcasts it only below its own limit."""
+    return hand_over(df, "lookup")
 
 
 def hand_over(df: DataFrame, name: str = "table") -> DataFrame:

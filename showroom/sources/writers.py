@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,10 +57,14 @@ def convertible_files(spark: SparkSession, folder: str, suffixes: tuple[str, ...
     return sorted(r["path"] for r in paths.collect())
 
 
-def convert_folder(spark: SparkSession, folder: str, target: str, codec: str = "zstd") -> dict[str, dict]:
-    """Every convertible file of a folder, each to its own Parquet table."""
-    done = {}
-    for path in convertible_files(spark, folder):
-        name = path.rsplit("/", 1)[-1].rsplit(".", 1)[0]
-        done[path] = text_to_parquet(spark, path, f"{target}/{name}.parquet", codec)
-    return done
+def convert_folder(spark: SparkSession, folder: str, target: str, codec: str = "zstd", at_once: int = 8) -> dict[str, dict]:
+    """Every convertible file below a folder, each to its own Parquet table ``<path below the folder>.parquet``.
+
+    The file's suffix stays in the name, so no two files share a table. ``at_once`` files are converted at a time.
+    """
+    paths = convertible_files(spark, folder)
+    root = folder.rstrip("/").split(":", 1)[-1].lstrip("/")
+    below = lambda path: path.split(root + "/", 1)[1]
+    convert = lambda path: text_to_parquet(spark, path, f"{target}/{below(path)}.parquet", codec)
+    with ThreadPoolExecutor(at_once) as pool:
+        return dict(zip(paths, pool.map(convert, paths), strict=True))

@@ -125,14 +125,6 @@ ORDER_STAGE_IDS = [
     "线索唯一ID", "客户ID", "客户ID(店端)", "店端潜客编号", "手机号码", "手机号（脱敏）", "主键",
 ]
 TIME_COLUMNS = ["线索创建时间", "分配时间", "线索下发时间", "首触时间", "客户建档时间"]
-CATEGORICAL_COLUMNS = [
-    "一级渠道名称", "二级渠道名称", "三级渠道名称", "四级渠道名称", "首触渠道属性",
-    "线索类型", "客户性别", "所在城市", "省份名称", "市名称", "行政区名称", "职业",
-    "首触意向车型", "预算区间", "首触线索评级",
-    "客户是否主动询问交车时间", "客户是否主动询问购车权益", "客户是否主动询问金融政策",
-    "客户是否同意加微信", "客户是否表示门店距离太远拒绝到店",
-    "SOP开口标签", "客户类型", "响应及时性", "渠道组合",
-]
 NUMERIC_COLUMNS = [
     "通话次数", "通话总时长", "平均通话时长", "平均通话时长_派生", "通话时长是否大于等于45秒",
     "是否接通", "首触线索是否及时外呼", "首触线索当天是否联通实体卡外呼",

@@ -99,7 +99,9 @@ def test_phone_column_and_parts(make):
     assert bh.find_phone_column(["a"]) == "手机号（脱敏）"
     part = lambda x: make([(x,)], "a int")
     both = bh.union_parts({"p1": part(1), "Query": part(2), "p2": part(3), "p3": part(4)})
-    assert sorted(r.a for r in both.collect()) == [1, 3]
+    assert sorted(r.a for r in both.collect()) == [1, 3, 4]
+    first = bh.union_parts({"p1": part(1), "Query": part(2), "p2": part(3), "p3": part(4)}, first=2)
+    assert sorted(r.a for r in first.collect()) == [1, 3]
 
 
 def test_cleaning_chain(make):

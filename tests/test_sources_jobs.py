@@ -81,7 +81,19 @@ def test_writers(spark, tmp_path):
     (source / "c.bin").write_text("no")
     done = wr.convert_folder(spark, str(source), str(tmp_path / "out"))
     assert sorted((p.rsplit("/", 1)[-1], r["columns"]) for p, r in done.items()) == [("a.csv", 2), ("b.tsv", 2)]
-    assert spark.read.parquet(str(tmp_path / "out" / "b.parquet")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "out" / "b.tsv.parquet")).count() == 1
+
+
+def test_equal_names_in_folders_keep_their_rows(spark, tmp_path):
+    rows = {"x.csv": 1, "x.tsv": 2, "a/x.csv": 3, "b/x.csv": 4}
+    for name, n in rows.items():
+        path = tmp_path / "in" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        sep = "," if name.endswith("csv") else "\t"
+        path.write_text("".join(sep.join(line) + "\n" for line in ["uv"] + ["12"] * n))
+    done = wr.convert_folder(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert sorted(r["rows"] for r in done.values()) == [1, 2, 3, 4]
+    assert {name: spark.read.parquet(str(tmp_path / "out" / f"{name}.parquet")).count() for name in rows} == rows
 
 
 def test_bad_lines_are_dropped(spark, tmp_path):
@@ -210,6 +222,8 @@ def test_leaderboard_and_baseline(make):
     board = make([("GBT", .5), ("RandomForest", .7), ("WeightedEnsemble_L2", .9)], "model string, score_test double")
     assert tr.pick_baseline(board, "gbm")["baseline_model_name"] == "GBT"
     other = tr.pick_baseline(board, "linear")
+    clash = make([("MyGBT", .9), ("GBT_2", .5)], "model string, score_test double")
+    assert tr.pick_baseline(clash, "gbm")["baseline_model_name"] == "GBT_2"
     assert other["baseline_model_name"] == "RandomForest" and other["fallback_reason"]
     assert tr.choose_families(excluded=["GBT"]) == ["RandomForest", "LogisticRegression"]
     with pytest.raises(ValueError):
@@ -274,3 +288,15 @@ def test_data_job(spark, tmp_path):
     stage, info = data_job.order_stage(df)
     assert stage.count() == df.where("`试驾时间` IS NOT NULL").count() and "线索唯一ID" not in stage.columns
     assert set(data_job.order_stage(df, split="time", cutoff="2026-01-10", keep=["线索唯一ID"])[0].columns) >= {"split", "线索唯一ID"}
+
+
+def test_empty_number_and_texts_with_many_values(make):
+    """A number column without values trains, and every text column has an importance of its own."""
+    rows = [(i, i % 2, None, f"key{i}", f"{i % 2}-{i % 3}", float(i % 5)) for i in range(400)]
+    df = make(rows, "id int, y int, empty double, many string, few string, x double")
+    for family in tr.FAMILIES:
+        model = tr.train(df, "y", family, excluded=["id"], size={"iterations": 3, "depth": 3, "trees": 3})
+        importances = model.importances()
+        assert set(importances) == {"empty", "many", "few", "x"} and sum(importances.values()) == pytest.approx(1.0)
+        assert importances["few"] > 0.5 and importances["empty"] == 0
+        assert model.probabilities(df).where("abs(p_0 + p_1 - 1) > 1e-9 OR p_0 IS NULL").count() == 0

@@ -160,19 +160,21 @@ def test_holdout(make):
     assert sp.holdout_split(classes(make, {"a": 10}), "t", stratify=False).where("split = 'test'").count() == 2
 
 
-def test_sliced_and_bracketed_paths(spark, monkeypatch):
-    """The paths for large tables give the same results as the small ones."""
+def test_ranks_and_quantiles(spark):
     df = spark.range(4000, numPartitions=5).select(
-        "id", F.when(F.col("id") % 3 == 0, 5.0).otherwise((F.hash("id") % 1000).cast("double")).alias("x"), (F.rand(3) * 10).alias("z")).persist()
+        "id", F.when(F.col("id") % 3 == 0, 5.0).otherwise((F.hash("id") % 1000).cast("double")).alias("x"), (F.rand(3) * 10).alias("z"),
+        F.exp(F.randn(5) * 20).alias("wide"), F.when(F.col("id") < 7, F.col("id").cast("double")).alias("few"), F.lit(2.5).alias("one"),
+        F.lit(None).cast("double").alias("none")).persist()
     ps = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
-    small = {(r[0], r[1]): r[2] for r in od.exact_quantiles(df, ["x", "z"], ps).collect()}
+    columns = ["x", "z", "wide", "few", "one"]
+    got = {(r[0], r[1]): r[2] for r in od.exact_quantiles(df, [*columns, "none"], ps).collect()}
+    for c in columns:
+        values = [r[0] for r in df.where(f"{c} IS NOT NULL").select(c).collect()]
+        assert all(got[c, p] == pytest.approx(np.quantile(values, p)) for p in ps)
+    assert len(got) == 7 * len(columns)
+    odd = spark.createDataFrame([(x,) for x in (float("-inf"), 1.0, 2.0, float("inf"), None)], "x double")
+    assert sorted(r[2] for r in od.exact_quantiles(odd, ["x"], [1 / 3, 2 / 3]).collect()) == pytest.approx([1.0, 2.0])
     ranks = {r["id"]: r["rank"] for r in od.global_rank(df, [F.desc("x"), F.asc("id")]).collect()}
-    monkeypatch.setattr(od, "SMALL_ROWS", 50)
-    large = {(r[0], r[1]): r[2] for r in od.exact_quantiles(df, ["x", "z"], ps).collect()}
-    assert large == pytest.approx(small) and len(large) == 14
-    xs = [r[0] for r in df.select("x").collect()]
-    assert all(large["x", p] == pytest.approx(np.quantile(xs, p)) for p in ps)
-    assert {r["id"]: r["rank"] for r in od.global_rank(df, [F.desc("x"), F.asc("id")]).collect()} == ranks
-    monkeypatch.setattr(od, "ACCURACY", 20_000)
-    monkeypatch.setattr(od, "_bracketed", lambda *a: {})
-    assert {(r[0], r[1]): r[2] for r in od.exact_quantiles(df, ["x"], ps).collect()} == pytest.approx({k: q for k, q in small.items() if k[0] == "x"})
+    rows = sorted(df.select("id", "x").collect(), key=lambda r: (-r.x, r.id))
+    assert ranks == {r.id: i + 1 for i, r in enumerate(rows)}
+
