@@ -47,7 +47,8 @@ FEATURES = [
 
 def _share(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Mean of the values of each document; 0 without any."""
-    sums = np.concatenate([[0], np.cumsum(values, dtype=np.float64)])
+    kind = np.int64 if values.dtype == bool else np.float64
+    sums = np.concatenate([np.zeros(1, kind), np.cumsum(values, dtype=kind)])
     return (sums[bounds[1:]] - sums[bounds[:-1]]) / np.maximum(np.diff(bounds), 1)
 
 
@@ -59,7 +60,7 @@ def features(texts: pa.Array) -> np.ndarray:
     upper, lower = (data >= 65) & (data <= 90), (data >= 97) & (data <= 122)
     digit, wide = (data >= 48) & (data <= 57), data >= 128
     symbol = ~(upper | lower | digit | wide | separator_table(SPACES)[data])
-    before = lambda mask: np.concatenate([[0], np.cumsum(mask, dtype=np.int64)])
+    before = lambda mask: np.concatenate([np.zeros(1, np.int32), np.cumsum(mask, dtype=np.int32)])
     in_word = lambda sums: sums[words.ends] - sums[words.starts]
     uppers, lowers, symbols, wides = in_word(before(upper)), in_word(before(lower)), in_word(before(symbol)), in_word(before(wide))
     length = words.ends - words.starts

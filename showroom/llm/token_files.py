@@ -42,6 +42,8 @@ from showroom.llm.words import SPACES, buffer_of, separator_table, slices
 
 END = 2
 SHARD_BYTES = 64 << 20
+#: Bytes of text whose pieces are numbered together; more of them means fewer different pieces in all.
+SLICE_BYTES = 8 << 20
 #: Pieces remembered by a task from slice to slice.
 REMEMBERED = 600_000
 #: Plain pieces that go through the tokenizer in one text.
@@ -333,7 +335,7 @@ def write(
         known = Pieces(_tokenizer(tokenizer), np.dtype(f"u{width}").type, end)
         writer = ShardWriter(folder, shard, width)
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", SLICE_BYTES):
                 writer.add(batch["key"], *encode(batch["text"], known))
         n_docs, n_ids = writer.close()
         yield pa.RecordBatch.from_pylist([{"shard": shard, "n_docs": n_docs, "n_ids": n_ids}], _EMPTY)

@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once in a task; a longer single text is a slice of its own.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 #: White space, as the bytes 0x20 and 0x09 to 0x0D.
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
