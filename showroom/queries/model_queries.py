@@ -16,9 +16,6 @@ from showroom.queries.registry import lead_id, query, tidy
 from showroom.session import ensure_shared_folder, hand_over
 from showroom.sources.stores import PrepStore, prep_key
 
-SIZE = {"iterations": 5, "depth": 4, "trees": 10}
-
-
 def adapted(spark, folder):
     """Leads with labels. The second channel is left out: in this view it spells the rating."""
     return leads(spark, folder, "lines", "place", "car").drop("二级渠道名称").transform(target_labels)
@@ -31,12 +28,12 @@ def _prepared(spark, folder):
 
 @lru_cache(maxsize=4)
 def _two_stage(spark, folder):
-    return tr.train_two_stage(_prepared(spark, folder), size=SIZE)
+    return tr.train_two_stage(_prepared(spark, folder))
 
 
 @lru_cache(maxsize=4)
 def _multiclass(spark, folder):
-    return tr.train_multiclass(_prepared(spark, folder), "RandomForest", size=SIZE)
+    return tr.train_multiclass(_prepared(spark, folder), "RandomForest")
 
 
 WINDOW_TARGETS = {n: f"试驾标签_{n}天" for n in (7, 14, 21)}
@@ -47,9 +44,8 @@ ORDER_TARGETS = {n: f"下订标签_{n}天" for n in (7, 14, 21)}
 def _windows(spark, folder):
     rows = hand_over(sp.time_split(adapted(spark, folder), "1999-01-01"), "windows")
     parts = sp.parts(rows)
-    size = {"iterations": 3, "depth": 3}
-    drive = tr.train_window_models(parts["train"], parts["test"], [*WINDOW_TARGETS.values(), "到店标签_14天"], size=size)
-    order = tr.train_window_models(parts["train"], parts["test"], list(ORDER_TARGETS.values()), size=size)
+    drive = tr.train_window_models(parts["train"], parts["test"], [*WINDOW_TARGETS.values(), "到店标签_14天"])
+    order = tr.train_window_models(parts["train"], parts["test"], list(ORDER_TARGETS.values()))
     return parts, drive, order
 
 
@@ -111,7 +107,7 @@ def saved_model(spark, folder):
 @query("m3_m5_leaderboard")
 def model_leaderboard(spark, folder):
     prep = _prepared(spark, folder)
-    models = {f: tr.train(prep.train, prep.target, f, size=SIZE) for f in tr.choose_families(excluded=["GBT"])}
+    models = {f: tr.train(prep.train, prep.target, f) for f in tr.choose_families()}
     board = tr.leaderboard(models, prep.test)
     picked = tr.pick_baseline(board, "rf")
     return tidy(board.withColumn("is_baseline", F.col("model") == picked["baseline_model_name"]))
@@ -127,7 +123,7 @@ def feature_importance(spark, folder):
 @query("m7_permutation_importance")
 def permutation_importance(spark, folder):
     model, _ = _multiclass(spark, folder)
-    loss = tr.permutation_importance(model, _prepared(spark, folder).test, v.LEAD_ID, ["通话次数"])
+    loss = tr.permutation_importance(model, _prepared(spark, folder).test, v.LEAD_ID)
     return tr.importance_table(spark, loss)
 
 
@@ -147,7 +143,8 @@ def window_models(spark, folder):
 def top_lists_of_model(spark, folder):
     model, _ = _multiclass(spark, folder)
     path = f"{ensure_shared_folder(spark)}/top/{folder.rstrip('/').rsplit('/', 1)[-1]}"
-    lists = scoring.write_top_lists(_prepared(spark, folder).test, model, path, "H", ks=(50, 100, 10**9))
+    test = _prepared(spark, folder).test
+    lists = scoring.write_top_lists(test, model, path, "H", ks=(50, 100, test.count() + 1))
     return tidy(lists[100].select("rank", F.col(v.LEAD_ID).alias("id"), "predicted_proba", "actual_label"))
 
 
@@ -230,3 +227,101 @@ SELECT label, 'train', n - CAST(CAST(n * 0.2::DOUBLE AS INTEGER) AS BIGINT) FROM
 def order_stage(spark, folder):
     out, _ = data_job.order_stage(leads(spark, folder, "lines", "place"))
     return tidy(out.groupBy(F.col("下订标签_14天").alias("label"), "split").agg(F.count("*").alias("n")))
+
+
+# --- what SQL can say about fitted models, beside their real output -----------------------
+
+
+TEST_IDS = PREPARED_SQL + "SELECT id, TRUE AS fine FROM p WHERE part = 'test'"
+
+
+def _shares(columns):
+    """All between 0 and 1, and 1 together."""
+    total = sum((F.col(c) for c in columns), F.lit(0.0))
+    inside = F.forall(F.array(*columns), lambda p: (p >= 0) & (p <= 1))
+    return F.coalesce(inside & (F.abs(total - 1) < 1e-9), F.lit(False))
+
+
+@query("m1_m4_probabilities", LEADS_SQL + "SELECT id, TRUE AS fine FROM leads WHERE created >= TIMESTAMP '1999-01-01'")
+def binary_probabilities(spark, folder):
+    parts, (models, _), _ = _windows(spark, folder)
+    scored = models["试驾标签_14天"].probabilities(parts["test"])
+    return scored.select(F.col(v.LEAD_ID).alias("id"), _shares(["p_0", "p_1"]).alias("fine"))
+
+
+@query("m8_m9_probabilities", LEADS_SQL + "SELECT id, TRUE AS fine FROM leads WHERE created >= TIMESTAMP '1999-01-01'")
+def window_probabilities(spark, folder):
+    parts, (drive, _), (order, _) = _windows(spark, folder)
+    out, names = parts["test"], []
+    for i, model in enumerate([*drive.values(), *order.values()]):
+        out = model.positive(out, f"__p{i}")
+        names.append(f"__p{i}")
+    inside = F.forall(F.array(*names), lambda p: (p >= 0) & (p <= 1))
+    return out.select(F.col(v.LEAD_ID).alias("id"), F.coalesce(inside, F.lit(False)).alias("fine"))
+
+
+@query("m10_two_stage_rows", TEST_IDS)
+def two_stage_rows(spark, folder):
+    """Probabilities are shares and the prediction follows from them and the threshold."""
+    model = _two_stage(spark, folder)
+    out = model.predict(_prepared(spark, folder).test)
+    rest = F.when(F.col("p_A") >= F.col("p_B"), "A").otherwise("B")
+    wanted = F.when(F.col("p_H") >= model.threshold["h_threshold"], "H").otherwise(rest)
+    return out.select(F.col(v.LEAD_ID).alias("id"), (_shares(["p_H", "p_A", "p_B"]) & (F.col(v.PREDICTED) == wanted)).alias("fine"))
+
+
+@query("m11_multiclass_rows", TEST_IDS)
+def multiclass_rows(spark, folder):
+    """Probabilities are shares and the prediction of the plain rule is the largest of them."""
+    model, _ = _multiclass(spark, folder)
+    out = model.predict(_prepared(spark, folder).test, rule={"strategy": "argmax"})
+    largest = F.greatest("p_H", "p_A", "p_B")
+    chosen = F.element_at(F.create_map(*[x for c in "HAB" for x in (F.lit(c), F.col(f"p_{c}"))]), F.col(v.PREDICTED))
+    return out.select(F.col(v.LEAD_ID).alias("id"), (_shares(["p_H", "p_A", "p_B"]) & (chosen == largest)).alias("fine"))
+
+
+@query("s16_reloaded_model", TEST_IDS)
+def reloaded_model(spark, folder):
+    """A model that is saved and loaded gives the same probabilities."""
+    model, _ = _multiclass(spark, folder)
+    path = f"{ensure_shared_folder(spark)}/models/reloaded"
+    model.save(spark, path)
+    out = tr.LeadModel.load(spark, path).probabilities(model.probabilities(_prepared(spark, folder).test), "again_")
+    same = [F.col(f"p_{c}") == F.col(f"again_{c}") for c in "HAB"]
+    return out.select(F.col(v.LEAD_ID).alias("id"), (same[0] & same[1] & same[2]).alias("fine"))
+
+
+@query("m3_m5_one_baseline", """
+SELECT CAST(3 AS BIGINT) AS models, CAST(1 AS BIGINT) AS baselines, TRUE AS best FROM (SELECT count(*) FROM orders)""")
+def one_baseline(spark, folder):
+    """Every family stands on the leaderboard, and the one baseline is a model of the family asked for."""
+    board = model_leaderboard(spark, folder)
+    mine = F.col("is_baseline") & (F.col("model") == "RandomForest")
+    return board.agg(F.count("*").alias("models"), F.count_if("is_baseline").alias("baselines"), (F.count_if(mine) == 1).alias("best"))
+
+
+@query("m7_importance_shares", "SELECT CAST(1.0 AS DOUBLE) AS total, TRUE AS every FROM (SELECT count(*) FROM orders)")
+def importance_shares(spark, folder):
+    """The importances of a forest add up to 1, with one row per feature."""
+    model, _ = _multiclass(spark, folder)
+    table = tr.importance_table(spark, model.importances())
+    return table.agg(
+        F.round(F.sum("importance"), 6).alias("total"),
+        ((F.count("*") == len(model.features)) & (F.count_distinct("feature") == len(model.features))).alias("every"))
+
+
+@query("m17_baseline_delta", "SELECT CAST(1 AS BIGINT) AS baselines, CAST(0.0 AS DOUBLE) AS delta FROM (SELECT count(*) FROM orders)")
+def baseline_delta(spark, folder):
+    rows = model_validation(spark, folder).where("role = 'baseline'")
+    return rows.agg(F.count("*").alias("baselines"), F.round(F.max(F.abs("delta_vs_baseline_macro_f1")), 6).alias("delta"))
+
+
+@query("m13_m15_fixed_ratings", LEADS_SQL + """, s AS (SELECT id, (ordered IS NOT NULL OR coalesce(paid = '已支付', false)) AS is_ordered FROM leads)
+SELECT id, is_ordered AS simple, is_ordered AS medium, is_ordered AS advanced FROM s""")
+def fixed_ratings(spark, folder):
+    """Ordered leads, and no others, are rated O in each mode."""
+    out = None
+    for mode in ("simple", "medium", "advanced"):
+        rows = _scored(spark, folder, mode).select(F.col(v.LEAD_ID).alias("id"), (F.col("评级") == "O").alias(mode))
+        out = rows if out is None else out.join(rows, "id")
+    return out
