@@ -64,8 +64,8 @@ def score_advanced(
     order_heat: DataFrame | None = None, thresholds: dict | None = None,
 ) -> DataFrame:
     """Driven rows are scored by the order models, the others by the drive models; the unused
-    probabilities are 0. Each row passes through one branch only."""
-    marked = df.withColumn("__driven", is_driven(df))
+    probabilities are 0. Each row passes through one branch only; both read the rows from one stored table."""
+    marked = hand_over(df.withColumn("__driven", is_driven(df)), "to-score")
 
     def branch(rows: DataFrame, models: dict[int, LeadModel], used: str, unused: str, fitted, default) -> DataFrame:
         out = _feature_rows(rows, fitted)

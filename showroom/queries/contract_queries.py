@@ -71,15 +71,18 @@ FROM d, (VALUES ('试驾标签_7天', 3, 7), ('试驾标签_14天', 3, 14), ('
                 ('下订标签_7天', 2, 7), ('下订标签_14天', 2, 14), ('下订标签_21天', 2, 21)) t(target, siblings, days)
 GROUP BY target, siblings""")
 def window_projections(spark, folder):
+    """The projections are lists of names; one aggregate counts for all of them."""
     df = labelled(spark, folder)
-    out = None
-    for target in ("试驾标签_7天", "试驾标签_14天", "试驾标签_21天", "下订标签_7天", "下订标签_14天", "下订标签_21天"):
-        frame = ct.training_projection(df, target)
-        row = frame.agg(F.count("*").alias("n"), F.sum(target).alias("positives")).select(
-            F.lit(target).alias("target"), F.lit(len(ct.sibling_labels(target))).alias("siblings"),
-            F.lit(bool(ct.remaining_leaks(frame.columns, target))).alias("leaks"), "n", "positives")
-        out = row if out is None else out.unionByName(row)
-    return tidy(out)
+    targets = ("试驾标签_7天", "试驾标签_14天", "试驾标签_21天", "下订标签_7天", "下订标签_14天", "下订标签_21天")
+    columns = {t: ct.training_projection(df, t).columns for t in targets}
+    assert all(t in c for t, c in columns.items())
+    sums = df.agg(F.count("*").alias("n"), *[F.sum(t).alias(t) for t in targets])
+    rows = [
+        F.struct(
+            F.lit(t).alias("target"), F.lit(len(ct.sibling_labels(t))).alias("siblings"), F.lit(bool(ct.remaining_leaks(columns[t], t))).alias("leaks"),
+            F.col("n"), F.col(t).alias("positives"))
+        for t in targets]
+    return tidy(sums.select(F.explode(F.array(*rows)).alias("x")).select("x.*"))
 
 
 @query("p7_order_stage_projection", LEADS_SQL + """
