@@ -9,7 +9,8 @@ estimated from how much the rates of its groups differ beyond chance, by grouped
 says little, and one without labels says what its parent says.
 
 A document's log-odds are those of its path and the log-likelihood ratio of the classifier, which is its own log-odds
-less those of its training rows. Documents with an even chance or more are kept.
+less those of its training rows. A document goes only if it is bad with odds of more than three to one: losing a good one is
+the worse mistake.
 
 Without URLs the source stands for the host, and source and language for the path.
 
@@ -34,7 +35,8 @@ from showroom.llm.words import SPACES, separator_table, slices, words_of
 
 #: Bound of the labelled rows that the document classifier is fitted on.
 TRAINING_ROWS = 20_000
-KEEP = 0.5
+#: Least probability of being good with which a document stays.
+KEEP = 0.25
 RIDGE = 1.0
 STEPS = 30
 #: Bounds of the strength with which a level's groups are shrunk.
