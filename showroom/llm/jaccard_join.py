@@ -9,8 +9,9 @@ Candidates come from prefixes: if two sets reach the threshold, then each holds
 among its rarest ``n - ceil(t * n) + 1``. N-grams of a single class are the rarest of all, so a class that shares
 too few is done. Within the classes of one prefix n-gram, all are compared with one *pivot*, the class with the
 smallest share of n-grams of its own. What is known about the pivot bounds the overlap of any two others:
-common n-grams lie inside the pivot, or among the shared ones outside of it. Only pairs which that bound leaves open, and
-which the pivot does not join already, are compared as well. So a group of near copies costs a few comparisons
+common n-grams lie inside the pivot, or among the shared ones outside of it; and two sets have in common what both have of the
+pivot, so they must differ from it in the same n-grams, which small bit tables bound. Only pairs which these bounds leave
+open, and which the pivot does not join already, are compared as well. So a group of near copies costs a few comparisons
 per member, and no link between components is lost.
 
 The overlap of a pair is counted fragment by fragment and summed per pair.
@@ -285,29 +286,42 @@ def frequent_hashes(docs: DataFrame, ngram: int) -> np.ndarray:
     return np.sort(np.array([r["h"] for r in found.collect()], np.int64).view(np.uint64))
 
 
-def _overlaps(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``pairs`` (a, b, …) with the number ``o`` of n-grams in both, counted by piece and summed."""
-    pieces = classes.select("cls", F.posexplode("pieces").alias("piece", "part")).where(F.size("part") > 0)
+def _overlaps(pairs: DataFrame, classes: DataFrame, differences: bool = False) -> DataFrame:
+    """``pairs`` (a, b, …) with the number ``o`` of n-grams in both, counted by piece and summed.
+
+    With ``differences`` also, for each piece, the number ``d`` of n-grams in one of the two only, and a bit table
+    ``s`` of 64 bits in which each of them sets one.
+    """
+    pieces = classes.select("cls", F.posexplode("pieces").alias("piece", "part"))
     left = pairs.select("a", "b").join(pieces.withColumnRenamed("cls", "a").withColumnRenamed("part", "mine"), "a")
     both = left.join(pieces.withColumnRenamed("cls", "b"), ["b", "piece"])
-    summed = both.groupBy("a", "b").agg(F.sum(F.size(F.array_intersect("mine", "part"))).alias("o"))
-    return pairs.join(summed, ["a", "b"], "left").withColumn("o", F.coalesce("o", F.lit(0)))
+    sums = [F.sum(F.size(F.array_intersect("mine", "part"))).alias("o")]
+    if differences:
+        both = both.withColumn("only", F.concat(F.array_except("mine", "part"), F.array_except("part", "mine")))
+        both = both.withColumn("bits", F.expr("aggregate(only, 0L, (s, h) -> s | shiftleft(1L, cast(h & 63 as int)))"))
+        for i in range(PIECES):
+            here = F.col("piece") == i
+            sums += [F.max(F.when(here, F.size("only"))).alias(f"d{i}"), F.max(F.when(here, F.col("bits"))).alias(f"s{i}")]
+    return pairs.join(both.groupBy("a", "b").agg(*sums), ["a", "b"])
 
 
 def links_of(classes: DataFrame, percent: int) -> DataFrame:
     """Rows (a, b) of linked classes which connect all that is connected."""
     rows = classes.select("cls", "n", "m", F.explode("prefix").alias("h"))
-    own = F.struct(((F.col("n") - F.col("m")) / F.col("n")).alias("own"), F.col("cls").alias("cls"), F.col("n").alias("n"))
+    own = F.struct(((F.col("n") - F.col("m")) / F.col("n")).alias("own"), "cls", "n", "m")
     pivots = rows.groupBy("h").agg(F.count("*").alias("c"), F.min(own).alias("p")).where("c > 1")
-    near = rows.join(pivots.select("h", F.col("p.cls").alias("b"), F.col("p.n").alias("nb")), "h").where("cls <> b")
-    near = near.select(F.col("cls").alias("a"), "n", "m", "b", "nb").distinct()
-    linked = F.expr(f"100 * o >= {percent} * (n + nb - o)").alias("linked")
-    tested = written(_overlaps(near, classes).select("a", "n", "m", "b", "nb", "o", linked), "pivot-pairs")
-
+    pivots = pivots.select("h", F.col("p.cls").alias("b"), F.col("p.n").alias("nb"), F.col("p.m").alias("mb"))
+    near = rows.join(pivots, "h").where("cls <> b").select(F.col("cls").alias("a"), "n", "m", "b", "nb", "mb").distinct()
+    linked = F.expr(f"100 * o >= {percent} * (n + nb - o)")
+    tested = written(_overlaps(near, classes, differences=True).withColumn("linked", linked), "pivot-pairs")
+
+    # What two classes x and y with one pivot p can have in common: no more than each has of p, and of what is not in p; and
+    # x.o + y.o - p + (differences from p that both have), of which two bit tables bound the number piece by piece.
+    least = "least(x.o, y.o) + least(x.m - x.o, y.m - y.o)"
+    both = " + ".join(f"shiftright(x.d{i} + y.d{i} - bit_count(x.s{i} ^ y.s{i}), 1)" for i in range(PIECES))
+    reaches = " AND ".join(f"({bound}) * {100 + percent} >= {percent} * (x.n + y.n)" for bound in (least, f"x.o + y.o - x.mb + {both}"))
     x, y = tested.where("NOT linked").alias("x"), tested.alias("y")
-    bound = "(least(x.o, y.o) + least(x.m - x.o, y.m - y.o))"
-    open_ = x.join(y, F.expr(
-        f"x.b = y.b AND x.a <> y.a AND (y.linked OR x.a < y.a) AND {bound} * {100 + percent} >= {percent} * (x.n + y.n)"))
+    open_ = x.join(y, F.expr(f"x.b = y.b AND x.a <> y.a AND (y.linked OR x.a < y.a) AND {reaches}"))
     open_ = open_.select(F.col("x.a").alias("a"), F.col("y.a").alias("b"), F.col("x.n").alias("n"), F.col("y.n").alias("nb")).distinct()
     others = _overlaps(written(open_, "open-pairs"), classes).where(linked)
     return tested.where("linked").select("a", "b").union(others.select("a", "b"))
