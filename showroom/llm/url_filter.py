@@ -2,8 +2,8 @@
 
 Features: lengths, depth, share and runs of digits, entropy of the characters, counts of parameters, labels and signs, and
 statistics of the host's suffixes (how often URLs of the last one and two labels are allowed, shrunk toward all, and how
-many were seen). The trees are trained on a bounded sample of labelled URLs; here the URLs that a rule decides are the labelled
-ones. A labelled URL is left out of its own suffix statistics.
+many were seen). The statistics count all labelled URLs, and the trees are trained on a bounded sample of them; here the URLs that
+a rule decides are the labelled ones. A labelled URL is left out of its own suffix statistics.
 
 A rule (verdict, host, path) fits its host and all subdomains, if the URL's path starts with the rule's path. Of those that
 fit, the longest wins (the first of several equally long).
@@ -123,17 +123,23 @@ def _with_suffixes(rows: DataFrame, suffixes: list[DataFrame], rate: float, own:
 
 
 def train(urls: DataFrame, url: str = "url", label: str = "allowed", rows: int = TRAINING_ROWS, trees: int = TREES, depth: int = DEPTH) -> Filter:
-    """Learn from about ``rows`` URLs with a label (1: allow, 0: block, null: none), chosen by a hash of the URL."""
+    """Learn from the URLs with a label (1: allow, 0: block, null: none): rate and suffix tables from all of them, trees from about ``rows``.
+
+    A hash of the URL chooses the rows for the trees.
+    """
     known = urls.select(exact(url).cast("string").alias("url"), exact(label).cast("double").alias("label")).where("label IS NOT NULL")
     known = known.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
-    known = written(hash_sample(written(known, "url-labels"), F.col("url"), rows), "url-sample")
+    known = written(known, "url-labels")
     row = known.agg(F.count("*").alias("n"), F.coalesce(F.avg("label"), F.lit(1.0)).alias("rate")).first()
     suffixes = [
         written(known.groupBy(suffix(F.col("host"), k).alias("suffix")).agg(F.count("*").alias("n"), F.sum("label").alias("good")), "url-suffixes")
         for k in (1, 2)]
     if row["rate"] in (0.0, 1.0):
         return Filter(None, ALLOW if row["rate"] else BLOCK, row["rate"], suffixes)
-    data = known.withColumns(lexical(F.col("url"), F.col("host"), F.col("path")))
+    chosen = hash_sample(known, F.col("url"), rows)
+    if chosen.isEmpty():  # few URLs, repeated many times
+        chosen = known.orderBy(F.xxhash64("url", F.lit("sample")), "url", "label").limit(rows)
+    data = chosen.withColumns(lexical(F.col("url"), F.col("host"), F.col("path")))
     data = written(_with_suffixes(data, suffixes, row["rate"], F.col("label")).select("label", *FEATURES), "url-features")
     # The order of rows must not depend on the partitioning.
     data = data.coalesce(1).sortWithinPartitions("label", *FEATURES)

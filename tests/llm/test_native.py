@@ -108,6 +108,27 @@ def test_trees_learn_what_urls_look_like(spark, make):
     assert entropy == {"aabb": 1.0, "aaaa": 0.0}
 
 
+def test_suffix_statistics_count_all_labels(make):
+    """Only the trees see a sample: few rows for them leave the suffix tables and the rate as they are."""
+    rows = [(f"http://h{i % 7}.site{i % 150}.net/{i}", float(i % 150 < 50)) for i in range(1_500)]
+    urls = make([*rows, ("http://a.other.net/", None)], "url string, allowed double")
+    model = url_filter.train(urls, rows=60, trees=2)
+    assert model.trees is not None and abs(model.rate - 1 / 3) < 1e-12
+    one, two = ({r.suffix: (r.n, r.good) for r in t.collect()} for t in model.suffixes)
+    assert one == {"net": (1_500, 500.0)}
+    assert two == {f"site{i}.net": (10, 10.0 if i < 50 else 0.0) for i in range(150)}
+
+
+def test_one_url_many_times_and_rare_labels(make):
+    """The sample for the trees may lack rows or one of the verdicts."""
+    urls = make([("http://a.net/x", float(i % 2)) for i in range(300)], "url string, allowed double")
+    model = url_filter.train(urls, rows=2, trees=2)
+    assert model.trees is not None and model.rate == 0.5
+    urls = make([(f"http://a{i}.net/x", float(i > 0)) for i in range(2_000)], "url string, allowed double")
+    model = url_filter.train(urls, rows=30, trees=2)
+    assert model.trees is not None and model.rate == 1_999 / 2_000 and model.suffixes[1].count() == 2_000
+
+
 def test_without_labels_or_rows(make):
     pages = make([(1, "http://a.net/"), (2, None)], "page_id bigint, url string")
     assert {r.url_verdict.verdict for r in url_filter.judge(pages, URL_RULES).collect()} == {"allow"}
