@@ -14,9 +14,12 @@ shared disk or in a remote store.
 Texts are cut at places where the tokenizer's own rule cuts whatever stands around. The different pieces of a
 slice go through the tokenizer once each.
 
+``lookup`` finds the files of a key by the first and last key of each, which are stored beside the files, and the
+documents in a file through its index. ``read`` takes the documents of all keys through the index as well.
+
 Defined cases: a null or empty text has the end id only; documents of equal key stand next to
-each other, ordered by a hash of the text, and a look-up answers all of them; documents without key come
-first and cannot be looked up; an empty table gives files without documents.
+each other, ordered by a hash of the text, if need be over several files, and a look-up answers all of them; documents
+without key come first and cannot be looked up; an empty table gives files without documents.
 """
 
 from __future__ import annotations
@@ -37,7 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from showroom.llm.hashing import mix
-from showroom.llm.shared import exact, new_folder, written
+from showroom.llm.shared import exact, new_folder
 from showroom.llm.words import SPACES, buffer_of, separator_table, slices
 
 END = 2
@@ -51,7 +54,10 @@ JOINED = 512
 MAGIC = b"SHWTOK01"
 #: Bits per key on each level of the index.
 GAMMA = 2
-_EMPTY = pa.schema([("shard", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
+#: Ids in one batch of rows of a look-up; a longer document has a batch of its own.
+BATCH_IDS = 1 << 20
+_SHARD = pa.schema([("shard", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("first_key", pa.int64()), ("last_key", pa.int64())])
+_SHARD_ROWS = "shard bigint, n_docs bigint, n_ids bigint, first_key bigint, last_key bigint"
 
 
 # --- cutting and encoding ---------------------------------------------------------------------
@@ -258,7 +264,8 @@ class ShardWriter:
         self.keys.append(keys.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
         self.n_ids += len(ids)
 
-    def close(self) -> tuple[int, int]:
+    def close(self) -> tuple[int, int, int | None, int | None]:
+        """Number of documents and of ids, first and last key."""
         starts = np.concatenate([*self.starts, [self.n_ids]]).astype("<u8")
         keys = np.concatenate([*self.keys, np.zeros(0, np.int64)]).astype("<i8")
         named = keys[self.no_key :]
@@ -276,7 +283,7 @@ class ShardWriter:
         self.out.write(head.tobytes() + MAGIC)
         self.out.close()
         self.store.move(self.draft, self.path)
-        return len(keys), self.n_ids
+        return len(keys), self.n_ids, *((int(named[0]), int(named[-1])) if len(named) else (None, None))
 
 
 class Shard:
@@ -301,7 +308,7 @@ class Shard:
         self.index = PerfectHash(levels, bits)
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First document of each key and how many follow on it; -1 and 0 for unknown keys."""
+        """First document of each key in this file and how many of it there are; -1 and 0 for unknown keys."""
         slot = self.index.find(keys)
         known = slot >= 0
         known[known] = self.prints[slot[known]] == fingerprint(keys[known])
@@ -315,12 +322,18 @@ class Shard:
         return np.frombuffer(self.file.read_at(int(end - begin) * self.width, int(begin) * self.width), f"<u{self.width}")
 
 
+def _table(folder: str) -> str:
+    """Where the table of the files is, as Spark names it."""
+    return f"{folder if '://' in folder or folder.startswith('file:') else 'file://' + os.path.abspath(folder)}/shards"
+
+
 def write(
     docs: DataFrame, tokenizer: str, folder: str, key: str = "doc_id", text: str = "text", end: int = END,
     shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
     """Write the files and return the rows (shard, n_docs, n_ids), one per file, from a stored table.
 
+    The table stands beside the files and also holds the first and last key of each for ``lookup``.
     ``tokenizer`` names a tokenizer file that all executors can open.
     """
     rows = docs.select(exact(key).cast("bigint").alias("key"), exact(text).cast("string").alias("text"))
@@ -337,16 +350,78 @@ def write(
         for whole in batches:
             for batch in slices(whole, "text", SLICE_BYTES):
                 writer.add(batch["key"], *encode(batch["text"], known))
-        n_docs, n_ids = writer.close()
-        yield pa.RecordBatch.from_pylist([{"shard": shard, "n_docs": n_docs, "n_ids": n_ids}], _EMPTY)
+        yield pa.RecordBatch.from_pylist([dict(zip(_SHARD.names, (shard, *writer.close()), strict=True))], _SHARD)
+
+    ordered.mapInArrow(run, _SHARD_ROWS).write.mode("overwrite").parquet(_table(folder))
+    return docs.sparkSession.read.schema(_SHARD_ROWS).parquet(_table(folder)).select("shard", "n_docs", "n_ids")
+
+
+def _offsets(shards: DataFrame) -> DataFrame:
+    """Ids in all earlier files. One row per file."""
+    earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    return shards.select("shard", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0)).alias("offset"))
 
-    return written(ordered.mapInArrow(run, "shard bigint, n_docs bigint, n_ids bigint"), "token-shards")
+
+def lookup(keys: DataFrame, folder: str, key: str = "doc_id") -> DataFrame:
+    """Rows (doc_id, start, ids, shard) of all documents whose key is in ``keys``, whatever file they are in.
+
+    Repeated keys count once; keys that no document has give no row. A file is opened only for keys in its range.
+    """
+    shards = keys.sparkSession.read.schema(_SHARD_ROWS).parquet(_table(folder))
+    # One row per file; files are in the order of keys, and several of them may hold one key.
+    ranges = shards.where("first_key IS NOT NULL").orderBy("shard").select("shard", "first_key", "last_key").collect()
+    number, first, last = (np.array([r[i] for r in ranges], np.int64) for i in range(3))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wanted = batch["key"].to_numpy(zero_copy_only=False)
+            low, high = np.searchsorted(last, wanted, "left"), np.searchsorted(first, wanted, "right")
+            count = np.maximum(high - low, 0)
+            at = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
+            yield pa.RecordBatch.from_arrays([pa.array(number[at]), pa.array(np.repeat(wanted, count))], names=["shard", "key"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened = None
+        for batch in batches:
+            numbers, wanted = (batch[c].to_numpy(zero_copy_only=False) for c in ("shard", "key"))
+            for n in np.unique(numbers).tolist():
+                if opened is None or opened[0] != n:
+                    opened = n, Shard(folder, n)
+                yield from _found(opened[1], n, wanted[numbers == n])
+
+    wanted = keys.select(exact(key).cast("bigint").alias("key")).where("key IS NOT NULL").distinct()
+    placed = wanted.mapInArrow(place, "shard bigint, key bigint").repartition(max(1, min(10_000, len(ranges))), "shard")
+    found = placed.sortWithinPartitions("shard").mapInArrow(run, "shard bigint, doc_id bigint, local bigint, ids array<bigint>")
+    return found.join(_offsets(shards), "shard").select("doc_id", (F.col("offset") + F.col("local")).alias("start"), "ids", "shard")
+
+
+def _places(shard: Shard, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and places of the documents that the index finds, each key as often as it has documents."""
+    place, copies = shard.find(keys)
+    at = np.repeat(place - np.cumsum(copies) + copies, copies) + np.arange(copies.sum())
+    asked = np.repeat(keys, copies)
+    # A strange key passes the fingerprint once in 2^32.
+    right = shard.keys[at] == asked
+    return asked[right], at[right]
+
+
+def _found(shard: Shard, number: int, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
+    asked, at = _places(shard, keys)
+    size = shard.starts[at + 1] - shard.starts[at]
+    batch = (np.cumsum(size) - size) // BATCH_IDS
+    for b in np.unique(batch):
+        here = np.flatnonzero(batch == b)
+        ids = [shard.ids(x) for x in at[here].tolist()]
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size[here])]), pa.int32()), pa.array(np.concatenate(ids), pa.int64()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(here), number)), pa.array(asked[here]), pa.array(shard.starts[at[here]]), lists],
+            names=["shard", "doc_id", "local", "ids"])
 
 
 def read(spark: SparkSession, folder: str, shards: DataFrame) -> DataFrame:
     """Rows (doc_id, start, n_tokens, ids_crc32, shard) of every document in the files.
 
-    Each document is found through the index of its file. ``start`` counts the ids of all earlier
+    Documents with a key are found, and their ids read, at the places that the index of their file gives. ``start`` counts the ids of all earlier
     files, from running sums over the list of files, and of the earlier documents in the file.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -357,32 +432,34 @@ def read(spark: SparkSession, folder: str, shards: DataFrame) -> DataFrame:
     kind = "shard bigint, doc_id bigint, local bigint, n_tokens bigint, ids_crc32 bigint"
     count = max(1, min(10_000, shards.count()))
     found = shards.select("shard").repartition(count, "shard").mapInArrow(run, kind)
-    # One row per file.
-    earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = shards.select("shard", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0)).alias("offset"))
-    return found.join(offsets, "shard").select(
+    return found.join(_offsets(shards), "shard").select(
         "doc_id", (F.col("offset") + F.col("local")).alias("start"), "n_tokens", "ids_crc32", "shard")
 
 
 def _documents(shard: Shard, number: int, step: int = 10_000) -> Iterator[pa.RecordBatch]:
     named = shard.keys[shard.no_key :]
-    place, copies = shard.find(named)
-    here = np.arange(shard.no_key, len(shard.keys))
-    if not ((place <= here) & (here < place + copies)).all():
+    asked, at = _places(shard, named[np.concatenate([[True], named[1:] != named[:-1]])] if len(named) else named)
+    if len(asked) != len(named):
         raise ValueError(f"the index of file {number} doesn't lead to its documents")
-    for first in range(0, len(shard.keys), step):
-        last = min(first + step, len(shard.keys))
-        begin = shard.starts[first]
-        ids = shard.ids(first, last)
-        cuts = shard.starts[first : last + 1] - begin
-        sums = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        keys = pa.array(shard.keys[first:last], pa.int64(), mask=np.arange(first, last) < shard.no_key)
+    keys = np.concatenate([np.zeros(shard.no_key, np.int64), asked])
+    at = np.concatenate([np.arange(shard.no_key), at])
+    for first in range(0, len(at), step):
+        here = at[first : first + step]
+        # Places that follow each other are read at once.
+        runs = np.split(here, np.flatnonzero(np.diff(here) != 1) + 1)
+        sums = [x for run in runs for x in _sums(shard, int(run[0]), int(run[-1]) + 1)]
+        missing = np.arange(first, first + len(here)) < shard.no_key
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(last - first, number)), keys, pa.array(shard.starts[first:last]),
-             pa.array(np.diff(cuts)), pa.array(sums, pa.int64())],
+            [pa.array(np.full(len(here), number)), pa.array(keys[first : first + step], pa.int64(), mask=missing), pa.array(shard.starts[here]),
+             pa.array(shard.starts[here + 1] - shard.starts[here]), pa.array(sums, pa.int64())],
             names=["shard", "doc_id", "local", "n_tokens", "ids_crc32"])
 
 
+def _sums(shard: Shard, first: int, last: int) -> list[int]:
+    ids, cuts = shard.ids(first, last), shard.starts[first : last + 1] - shard.starts[first]
+    return [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
 def tokenize(docs: DataFrame, tokenizer: str, folder: str | None = None, **options) -> DataFrame:
     """Write the files below ``folder`` (a new one in the shared folder, if left out) and read them back."""
     folder = folder or new_folder(docs.sparkSession, "tokens")

@@ -84,5 +84,19 @@ def test_equal_keys_missing_keys_and_unknown_keys(spark, make, tmp_path):
     assert got == sorted(str((k, len(i), zlib.crc32(np.array(i, "<u4").tobytes()))) for (k, _), i in zip(rows, whole([t for _, t in rows])))
 
 
+def test_lookup_over_all_files(spark, make, tmp_path):
+    """Rows of one key that lie in several files are all found, with the places that read() gives."""
+    rows = [(i, f"text {i}") for i in range(40)] + [(20, f"same key, other text {i} " * 9) for i in range(200)] + [(None, "n"), (50, "")]
+    shards = tf.write(make(rows, "doc_id bigint, text string"), PATH, str(tmp_path), shard_bytes=2_000)
+    read = tf.read(spark, str(tmp_path), shards).collect()
+    assert len({r.shard for r in read if r.doc_id == 20}) > 1
+    keys = make([(20, 1), (20, 2), (3, 3), (50, 4), (77, 5), (-1, 6), (None, 7)], "k bigint, ids int")
+    got = tf.lookup(keys, str(tmp_path), "k").collect()
+    want = [(r.doc_id, r.start, r.n_tokens, r.ids_crc32, r.shard) for r in read if r.doc_id in (20, 3, 50)]
+    assert sorted((r.doc_id, r.start, len(r.ids), zlib.crc32(np.array(r.ids, "<u4").tobytes()), r.shard) for r in got) == sorted(want)
+    assert sorted(r.ids for r in got) == sorted(whole([t for k, t in rows if k in (20, 3, 50)]))
+    assert tf.lookup(keys.limit(0), str(tmp_path), "k").count() == 0
+
+
 def test_no_documents(spark, make):
     assert tf.tokenize(make([], "doc_id bigint, text string"), PATH).count() == 0
