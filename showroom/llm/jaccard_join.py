@@ -48,10 +48,10 @@ FREQUENT = 0.01
 PIECES = 8
 _MOST = np.uint16(65535)
 
-_ROWS = "part bigint, kind int, doc_id bigint, n bigint, sig bigint, sigs binary, counts binary, sizes binary, hashes binary, often binary"
+_ROWS = "part bigint, kind int, doc_id bigint, n bigint, sig bigint, sigs binary, counts binary, sizes binary, hashes binary, often binary, mark bigint"
 _ARROW = pa.schema([
     ("part", pa.int64()), ("kind", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.int64()), ("sigs", pa.binary()),
-    ("counts", pa.binary()), ("sizes", pa.binary()), ("hashes", pa.binary()), ("often", pa.binary())])
+    ("counts", pa.binary()), ("sizes", pa.binary()), ("hashes", pa.binary()), ("often", pa.binary()), ("mark", pa.int64())])
 #: Kinds of rows: a document; hashes of a fragment; sizes and frequent hashes of classes; shared hashes of classes.
 DOCUMENT, FRAGMENT, CLASS, SHARED = range(4)
 
@@ -113,7 +113,7 @@ def _cut(ngram: int, fragments: int, buckets: int, frequent) -> Callable:
                 ids = batch["doc_id"]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(len(size)) % fragments), pa.array(np.full(len(size), DOCUMENT, np.int32)), ids, pa.array(size),
-                     pa.array(sigs.view(np.int64)), *[pa.nulls(len(size), pa.binary())] * 5], schema=_ARROW)
+                     pa.array(sigs.view(np.int64)), *[pa.nulls(len(size), pa.binary())] * 5, batch["mark"]], schema=_ARROW)
                 new = []
                 for i, (sig, given) in enumerate(zip(sigs.tolist(), ids.is_valid().to_pylist(), strict=True)):
                     if given and size[i] and sig not in seen:
@@ -336,10 +336,19 @@ def similar(
     Two documents link when ``100 * common >= percent * union`` n-grams; ``component_id`` is the smallest id
     reachable over links. ``fragments`` are as many as shuffle partitions, if left out.
     """
+    return _grouped(docs, doc_id, text, ngram, percent, fragments).select("doc_id", "n_shingles", "component_id")
+
+
+def _grouped(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ngram: int = NGRAM, percent: int = PERCENT,
+    fragments: int | None = None,
+) -> DataFrame:
+    """The rows of ``similar`` with a hash ``mark`` of the text, and what tells components of one smallest id apart (null: no n-grams)."""
     spark = docs.sparkSession
     fragments = fragments or int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(1, fragments // 4)
     docs = docs.select(exact(doc_id).cast("bigint").alias("doc_id"), exact(text).cast("string").alias("text"))
+    docs = docs.withColumn("mark", F.xxhash64("text"))
     frequent = spark.sparkContext.broadcast(frequent_hashes(docs, ngram))
     cut = docs.mapInArrow(_cut(ngram, fragments, buckets, frequent), _ROWS)
     rows = written(cut.repartition("part").sortWithinPartitions("part").mapInArrow(_share(buckets), _ROWS), "ngram-rows")
@@ -348,24 +357,28 @@ def similar(
     classes = written(packed.mapInArrow(_classes(percent), _CLASSES), "ngram-classes")
     joined = components(links_of(classes, percent))
 
-    known = rows.where(F.col("kind") == DOCUMENT).select("doc_id", F.col("n").alias("n_shingles"), F.when(F.expr("n > 0 AND doc_id IS NOT NULL"), F.col("sig")).alias("sig"))
+    known = rows.where(F.col("kind") == DOCUMENT).select("doc_id", "mark", F.col("n").alias("n_shingles"), F.when(F.expr("n > 0 AND doc_id IS NOT NULL"), F.col("sig")).alias("sig"))
     least = known.where("sig IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("least"))
     of_component = least.join(joined.withColumnRenamed("node", "sig"), "sig").groupBy("component").agg(F.min("least").alias("least"))
-    of_class = joined.join(of_component, "component").select(F.col("node").alias("sig"), F.col("least").alias("joined"))
-    least = least.join(of_class, "sig", "left").select("sig", F.coalesce("joined", "least").alias("component_id"))
+    of_class = joined.join(of_component, "component").select(F.col("node").alias("sig"), "component", F.col("least").alias("joined"))
+    least = least.join(of_class, "sig", "left").select(
+        "sig", F.coalesce("component", "sig").alias("component"), F.coalesce("joined", "least").alias("component_id"))
     least = written(least, "ngram-components")  # with an exchange of its own the last join can split a hot class
-    return known.join(least, "sig", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return known.join(least, "sig", "left").select(
+        "doc_id", "mark", "n_shingles", "component", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def first_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` with one row per group of linked documents: the one of the smallest id.
 
-    Of rows with the same id one stays; rows without id stay all.
+    Rows with the same id and texts that don't link are different groups and stay. Of several rows of the smallest id in a group one
+    stays, and of rows of one id without n-grams; rows without id stay all.
     """
-    found = similar(docs, doc_id, text, **options)
-    id_, place = fresh(docs.columns, "kept_id"), fresh(docs.columns, "place")
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias(id_)).distinct()
-    stay = docs.join(kept, exact(doc_id).cast("bigint") == F.col(id_), "left_semi")
-    order = Window.partitionBy(exact(doc_id)).orderBy(F.xxhash64(exact(text)))
-    single = stay.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place)
+    found = _grouped(docs, doc_id, text, **options)
+    id_, mark, place = (fresh(docs.columns, c) for c in ("kept_id", "text_mark", "place"))
+    kept = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias(id_), "component").agg(F.min("mark").alias("kept_mark"))
+    marked = docs.withColumn(mark, F.xxhash64(exact(text).cast("string")))
+    stay = marked.join(kept, (exact(doc_id).cast("bigint") == F.col(id_)) & (F.col(mark) == kept["kept_mark"]), "left_semi")
+    order = Window.partitionBy(exact(doc_id), F.col(mark)).orderBy(F.col(mark))
+    single = stay.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place, mark)
     return single.union(docs.where(exact(doc_id).isNull()))

@@ -199,3 +199,25 @@ def test_without_labels_all_stay(make):
     docs = make([(1, "a", "s", "en"), (2, None, None, None)], "doc_id bigint, text string, source string, lang string")
     none = make([], "doc_id bigint, quality int")
     assert quality.good(docs, none).count() == 2 and quality.good(docs.limit(0), none).count() == 0
+
+
+def test_one_row_of_each_group_of_links_with_repeated_ids(make):
+    """Rows of one id whose texts don't link are different documents: only near copies and repeated rows go."""
+    text = lambda i: " ".join(f"w{i}x{k}" for k in range(60))
+    near = lambda i: text(i) + " end"
+    rows, want = [], []
+    for i in range(8):
+        # A near copy of a smaller id next to a text of its own; two such texts; a repeated row; two near copies of one id.
+        rows += [(100 * i + 1, text(i)), (100 * i + 5, near(i)), (100 * i + 5, text(20 + i)), (100 * i + 7, text(40 + i)), (100 * i + 7, text(60 + i))]
+        rows += [(100 * i + 8, text(80 + i)), (100 * i + 8, text(80 + i)), (100 * i + 9, text(100 + i)), (100 * i + 9, near(100 + i))]
+        want += [(100 * i + 1, text(i)), (100 * i + 5, text(20 + i)), (100 * i + 7, text(40 + i)), (100 * i + 7, text(60 + i)), (100 * i + 8, text(80 + i))]
+    rows += [(3, None), (3, ""), (3, " "), (4, ""), (None, "n"), (None, "n")]
+    docs = make([(k, t, 1) for k, t in rows], "doc_id bigint, text string, mark int")
+    out = jj.first_of_each(docs)
+    assert out.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    ninth = [(k, t) for k, t in got if k is not None and k % 100 == 9]
+    assert sorted(k for k, _ in ninth) == [100 * i + 9 for i in range(8)]
+    rest = [(k, t) for k, t in got if (k, t) not in ninth and k not in (3, 4, None)]
+    assert sorted(rest) == sorted(want)
+    assert sorted(str(k) for k, _ in got if k in (3, 4, None)) == ["3", "4", "None", "None"]
