@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from showroom.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing, quality, secrets, token_files, topk_search, url_filter
-from showroom.llm.shared import table
+from showroom.llm import conversation_trie, decontaminate, jaccard_join, language_id, line_dedup, mixing, quality, secrets, token_files, topk_search, url_filter
+from showroom.llm.shared import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -177,3 +177,39 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return topk_search.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op11_conversation_trie", r"""
+WITH t AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, role || chr(0) || text AS said, length(text) AS chars
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+c AS (
+  SELECT c, c - c % 100 AS b, xor(list_reduce(list_prepend(4294967295::BIGINT, [ord(x)::BIGINT FOR x IN string_split(CAST(c AS VARCHAR), '')]),
+    lambda a, x: list_reduce(list_prepend(xor(a, x), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+      lambda r, z: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END)), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT c FROM t)),
+own AS (
+  SELECT c.c, 0 AS part, t.i, said, chars FROM c JOIN t ON t.c = c.b AND t.i <= c.h
+  UNION ALL SELECT c.c, 1, t.i, said, chars FROM c JOIN t ON t.c = c.c AND t.i > c.h),
+s AS (SELECT c, list(md5(said) ORDER BY part, i) AS ds, list(chars ORDER BY part, i) AS ls FROM own GROUP BY c),
+r AS (SELECT c.c, coalesce(ds, []) AS ds, coalesce(ls, []) AS ls FROM c LEFT JOIN s ON s.c = c.c),
+m AS (SELECT c, d, ds[1:d] AS p, CASE WHEN d > 0 THEN ls[d] ELSE 0 END AS chars, len(ds) = d AS ends FROM (SELECT *, unnest(range(0, len(ds) + 1)) AS d FROM r)),
+n AS (
+  SELECT p, d, min(c) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256 FROM m GROUP BY p, d),
+k AS (SELECT p[1:d - 1] AS p, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+a AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM n LEFT JOIN k ON n.p = k.p),
+u AS (
+  SELECT q AS p, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * chars) AS saved
+  FROM (SELECT n_children, n_convs, chars, unnest([p[1:e] FOR e IN range(0, d + 1)]) AS q FROM a) GROUP BY q)
+SELECT a.conv_id, CAST(a.d AS BIGINT) AS depth, f.conv_id AS parent_conv_id, CAST(a.n_convs AS BIGINT) AS n_convs, CAST(a.n_children AS BIGINT) AS n_children,
+  CAST(u.n_leaves AS BIGINT) AS n_leaves, CAST(u.saved AS BIGINT) AS saved_tokens, a.ends_sha256
+FROM a JOIN u ON u.p = a.p LEFT JOIN a f ON a.d > 0 AND f.d = a.d - 1 AND f.p = a.p[1:a.d - 1]""")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    said = conversation_trie.sequences(table(spark, folder, "conversations"))
+    said = written(said, "conversations")
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6).cast("int")
+    heads = said.where("conv_id % 100 = 0").select(F.col("conv_id").alias("base"), F.slice("turns", 1, 5).alias("head"))
+    rebuilt = said.withColumn("h", h).withColumn("base", F.expr("conv_id - conv_id % 100")).join(heads, "base", "left").select(
+        "conv_id", F.expr("concat(coalesce(slice(head, 1, h), slice(turns, 1, 0)), slice(turns, h + 1, greatest(size(turns) - h, 0)))").alias("turns"))
+    return conversation_trie.trie(rebuilt)
