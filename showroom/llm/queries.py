@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from showroom.llm import conversation_trie, decontaminate, jaccard_join, language_id, line_dedup, mixing, quality, secrets, token_files, topk_search, url_filter
+from showroom.llm import conversation_trie, decontaminate, hard_negatives, jaccard_join, language_id, line_dedup, mixing, quality, secrets, token_files, topk_search, url_filter
 from showroom.llm.shared import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -213,3 +213,26 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     rebuilt = said.withColumn("h", h).withColumn("base", F.expr("conv_id - conv_id % 100")).join(heads, "base", "left").select(
         "conv_id", F.expr("concat(coalesce(slice(head, 1, h), slice(turns, 1, 0)), slice(turns, h + 1, greatest(size(turns) - h, 0)))").alias("turns"))
     return conversation_trie.trie(rebuilt)
+
+
+@query("op12_hard_negatives", r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+a AS (SELECT DISTINCT vec_id, label, e FROM v WHERE vec_id % 100 = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label, c.label AS other, c.vec_id, CAST(list_dot_product(a.e, c.e) AS BIGINT) AS score
+  FROM a JOIN v c ON a.vec_id <> c.vec_id AND len(a.e) = len(c.e)),
+p AS (
+  SELECT anchor_id, label, vec_id AS positive_id, score AS positive_score FROM s WHERE other = label
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT p.anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.other <> p.label AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5""")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    vectors = vectors.withColumn("label", F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
