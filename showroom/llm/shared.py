@@ -52,6 +52,23 @@ def hash_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(HASH_RANGE)) < limit)
 
 
+def join_heavy(left: DataFrame, right: DataFrame, key: str, rows: str, how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right`` (unique keys) where some keys have very many rows.
+
+    ``right`` counts the rows of its key on the left in ``rows``. Keys with a thousandth of all of them are a thousand at most; their rows are
+    broadcast, so they stay where they are. The others meet by key. With ``how`` "left" rows without partner stay, null keys included.
+    """
+    right = written(right, "join-keys")
+    total = right.agg(F.sum(rows).alias("n")).first()["n"] or 0
+    heavy = F.broadcast(right.where(F.col(rows) * 1000 >= total))
+    found = left.join(heavy, key)
+    others = left.join(heavy.select(key), key, "left_anti")
+    if how == "inner":
+        return found.unionByName(others.join(right, key))
+    met = others.where(F.col(key).isNotNull()).join(right, key, "left")
+    return found.unionByName(met).unionByName(left.where(F.col(key).isNull()), allowMissingColumns=True)
+
+
 def with_fields(batch: pa.RecordBatch, fields: list[tuple[str, pa.Array]]) -> pa.RecordBatch:
     names = [*batch.schema.names, *[n for n, _ in fields]]
     return pa.RecordBatch.from_arrays([*batch.columns, *[a for _, a in fields]], names=names)
