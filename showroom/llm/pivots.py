@@ -5,9 +5,11 @@ For the others, x and y, the differences from their pivot decide: they link only
 where ``x - y`` are the numbers in one of them only; and since ``|x - y| = |x - p| + |y - p| - 2 * (common differences from p)``, two members of
 different components have to share differences from the pivot: x at least ``(|x - p| - k * |x| + least of (|y - p| - k * |y|)) / 2``. So the
 differences are the n-grams of a smaller search of the same kind: of each member all but the most common ones that may be missed become
-new buckets (pivot, difference); buckets of the same members are one. A bucket gets smaller with every round, at least by its pivot; rounds end when every bucket holds one component.
+new buckets (pivot, difference); buckets of the same members are one. In those of ``SMALL`` members or fewer each is compared with the others of
+other components, unless their distances from the pivot rule it out; larger ones get a pivot again. A bucket gets smaller with every
+round, at least by its pivot; rounds end when no large bucket is left.
 
-No pair inside a bucket is left out, and none is formed but with pivots.
+No pair inside a bucket is left out, and no member of a large bucket meets any other but its pivot.
 """
 
 from __future__ import annotations
@@ -21,6 +23,9 @@ from pyspark.sql import functions as F
 from showroom.llm.components import components
 from showroom.llm.shared import join_heavy, written
 
+#: Members of a bucket that are compared with each other, not with a pivot only.
+SMALL = 16
+
 
 def forest(links: DataFrame) -> DataFrame:
     """Links (a, b) that connect what ``links`` connect: in every task, those that join two trees of a union-find."""
@@ -45,10 +50,15 @@ def forest(links: DataFrame) -> DataFrame:
     return links.mapInArrow(run, "a bigint, b bigint")
 
 
+def _beside(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """A row (a, b, na, nb, mine, part) for each of ``pairs`` (a, b) and each piece."""
+    left = pairs.join(sets.select(F.col("cls").alias("a"), F.col("n").alias("na"), "piece", F.col("part").alias("mine")), "a")
+    return left.join(sets.select(F.col("cls").alias("b"), F.col("n").alias("nb"), "piece", "part"), ["b", "piece"])
+
+
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Rows (a, b, na, nb, o, only) for each of ``pairs`` (a, b) and each piece: the size of the overlap, and what is in one of the two only."""
-    left = pairs.join(sets.select(F.col("cls").alias("a"), F.col("n").alias("na"), "piece", F.col("part").alias("mine")), "a")
-    both = left.join(sets.select(F.col("cls").alias("b"), F.col("n").alias("nb"), "piece", "part"), ["b", "piece"])
+    both = _beside(pairs, sets)
     only = F.concat(F.array_except("mine", "part"), F.array_except("part", "mine"))
     return both.select("a", "b", "na", "nb", F.size(F.array_intersect("mine", "part")).alias("o"), only.alias("only"))
 
@@ -61,45 +71,65 @@ def _pivots(members: DataFrame) -> DataFrame:
 
 
 def _closer(pairs: DataFrame, parts: DataFrame, joined: DataFrame, percent: int) -> DataFrame | None:
-    """The buckets (key, cls, comp) in which pairs of different components can still link, or None."""
+    """The buckets (key, cls, comp, n, d, size) in which pairs of different components can still link, or None; ``d`` is the distance from the pivot."""
     most, k = 100 + percent, 100 - percent
     named = pairs.join(joined.select(F.col("node").alias("a"), "component"), "a", "left").withColumn("comp", F.coalesce("component", "a"))
-    named = named.withColumn("v", F.expr(f"{most} * (na + nb - 2 * o) - {k} * na"))
+    named = named.withColumn("d", F.expr("na + nb - 2 * o")).withColumn("v", F.expr(f"{most} * d - {k} * na"))
     groups = named.groupBy("b").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("v").alias("closest")).where("lo <> hi")
     least = F.expr(f"greatest(1, ceil((v + closest) / {2 * most}))")
-    open_ = written(named.join(groups, "b").select("a", "b", "comp", least.alias("least")), "open-members")
+    open_ = written(named.join(groups, "b").select("a", "b", "comp", "na", "d", least.alias("least")), "open-members")
     if open_.isEmpty():
         return None
-    items = written(parts.join(open_, ["a", "b"]).select("b", "a", "comp", "least", F.explode("only").alias("item")), "open-differences")
+    items = parts.join(open_.select("a", "b", "comp", "least"), ["a", "b"]).select("b", "a", "comp", "least", F.explode("only").alias("item"))
+    items = written(items, "open-differences")
     counts = items.groupBy("b", "item").agg(F.count("*").alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
     shared = items.join(counts.select("b", "item", "c"), ["b", "item"])
     mine = Window.partitionBy("b", "a")
     ranked = shared.withColumn("place", F.row_number().over(mine.orderBy("c", "item"))).withColumn("all", F.count("*").over(mine))
-    rare = ranked.where("place <= all - least + 1")
-    rare = written(rare.select(F.xxhash64("b", "item").alias("key"), F.col("a").alias("cls"), "comp"), "open-buckets")
-    # Buckets of the same members are one.
-    same = rare.groupBy("key").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("cls")).alias("x"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    same = same.where("lo <> hi").select("key", F.xxhash64("c", "x").alias("bucket"))
-    members = rare.join(same, "key").select(F.col("bucket").alias("key"), "cls", "comp").distinct()
-    members = written(members, "open-members")
+    rare = written(ranked.where("place <= all - least + 1").select("b", "item", "a", "comp"), "open-items")
+    # Buckets of one pivot and the same members are one.
+    same = rare.groupBy("b", "item").agg(
+        F.count("*").alias("size"), F.bit_xor(F.xxhash64("a")).alias("x"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    same = same.groupBy(F.xxhash64("b", "size", "x").alias("key")).agg(F.max("size").alias("size"), F.min("b").alias("b"), F.min("item").alias("item"))
+    members = rare.join(same, ["b", "item"]).join(open_.select("a", "b", "na", "d"), ["a", "b"])
+    members = written(members.select("key", F.col("a").alias("cls"), "comp", F.col("na").alias("n"), "d", "size"), "open-buckets")
     return None if members.isEmpty() else members
 
 
+def _within(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components in small buckets; those whose distances from the pivot differ too much cannot link."""
+    small = members.where(F.col("size") <= SMALL)
+    one, other = small.alias("x"), small.alias("y")
+    near = f"x.key = y.key AND x.cls < y.cls AND x.comp <> y.comp AND {100 + percent} * abs(x.d - y.d) <= {100 - percent} * (x.n + y.n)"
+    return one.join(other, F.expr(near)).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
+
+
 def connected(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Rows (node, component) of the linked classes in ``buckets`` (key, cls): the smallest class reachable.
 
     ``sets`` has the distinct numbers of a class as rows (cls, n, piece, part): their number, and for each piece of their range those in it.
     Classes link when ``100 * common >= percent * union``.
     """
-    members, links = buckets.withColumn("comp", F.col("cls")), None
+    linked = f"100 * o >= {percent} * (na + nb - o)"
+    sums = [F.max("na").alias("na"), F.max("nb").alias("nb"), F.sum("o").alias("o")]
+    large, found = buckets.withColumn("comp", F.col("cls")), None
+    links = done = None
     while True:
-        pivots = _pivots(members)
-        near = join_heavy(members.select("key", "cls"), pivots, "key", "rows").where("cls <> b").select(F.col("cls").alias("a"), "b").distinct()
-        parts = written(compared(near, sets), "pivot-parts")
-        pairs = written(parts.groupBy("a", "b").agg(F.max("na").alias("na"), F.max("nb").alias("nb"), F.sum("o").alias("o")), "pivot-pairs")
-        found = forest(pairs.where(f"100 * o >= {percent} * (na + nb - o)").select("a", "b"))
-        links = written(found if links is None else links.union(found), "pivot-links")
+        if large is not None:
+            near = join_heavy(large.select("key", "cls"), _pivots(large), "key", "rows").where("cls <> b").select(F.col("cls").alias("a"), "b").distinct()
+            parts = written(compared(near, sets), "pivot-parts")
+            pairs = written(parts.groupBy("a", "b").agg(*sums), "pivot-pairs")
+            found = pairs if found is None else found.unionByName(pairs)
+        new = forest(found.where(linked).select("a", "b"))
+        links = written(new if links is None else links.union(new), "pivot-links")
         joined = components(links)
-        members = _closer(pairs, parts, joined, percent)
+        members = None if large is None else _closer(pairs, parts, joined, percent)
         if members is None:
             return joined
+        tested = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        done = written(tested if done is None else done.union(tested), "pivot-done")
+        inside = _within(members, percent).join(done, ["a", "b"], "left_anti")
+        inside = _beside(written(inside, "pivot-inside"), sets).withColumn("o", F.size(F.array_intersect("mine", "part")))
+        found = written(inside.groupBy("a", "b").agg(*sums), "pivot-inside-pairs")
+        large = members.where(F.col("size") > SMALL)
+        large = None if large.isEmpty() else large
