@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from showroom.llm.shared import exact, fresh, with_fields
+from showroom.llm.shared import exact, fresh, with_fields, written
 from showroom.llm.words import NOT_WORD, separator_table, slices, words_of
 
 LENGTH = 10
@@ -210,9 +210,14 @@ def mark(
 
     ``spans`` lists start and end word of every hit stretch; ``longest`` is 0 if no stretch of words known
     to the items is as long as the shortest window. With ``rewrite`` a further column of that
-    name holds the text without these stretches, or null where nothing is hit.
+    name holds the text without these stretches, or null where nothing is hit. Names that ``docs`` has already are lengthened by ``_``.
+
+    Items of more than ``block_words`` words go in blocks, one pass of the documents each; what a pass marks is written before the next, and
+    neither the driver nor a task holds more than one block.
     """
     spark = docs.sparkSession
+    result = fresh(docs.columns, result)
+    rewrite = rewrite and fresh([*docs.columns, result], rewrite)
     tests = benchmark.select(
         F.coalesce(exact(item).cast("string"), F.lit("")).alias("item"), exact(item_text).cast("string").alias("text"))
     # Every word but the last takes two bytes at least.
@@ -227,6 +232,9 @@ def mark(
         if last and rewrite:
             kind = kind.add(rewrite, T.StringType())
         docs = docs.mapInArrow(_pass(sent, text, result, rewrite if last else None), kind)
+        if not last:
+            docs = written(docs, "benchmark-marks")
+            sent.destroy()
     return docs
 
 

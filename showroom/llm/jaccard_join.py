@@ -281,8 +281,10 @@ def frequent_hashes(docs: DataFrame, ngram: int) -> np.ndarray:
                 values, counts = np.unique(hashes, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts)], names=["h", "c"])
 
-    sample = hash_sample(docs, F.col("doc_id"), SAMPLE_ROWS).mapInArrow(run, "h bigint, c bigint")
-    found = sample.groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= max(8, int(SAMPLE_ROWS * FREQUENT))).select("h")
+    chosen = hash_sample(docs, F.col("mark"), SAMPLE_ROWS)
+    sample = chosen.mapInArrow(run, "h bigint, c bigint")
+    least = max(8, int(chosen.count() * FREQUENT))
+    found = sample.groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= least).select("h")
     return np.sort(np.array([r["h"] for r in found.collect()], np.int64).view(np.uint64))
 
 

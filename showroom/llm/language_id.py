@@ -5,7 +5,8 @@ counts buckets per language over a bounded sample of the labelled rows, inside t
 log-probabilities travels to the tasks. Scoring is a product of sparse matrices, slice by slice: the different words
 of a slice times the matrix, and then documents times words. Whole texts are scored.
 
-The matrix has a row per bucket and a column per language; ``MOST_LANGUAGES`` bounds its size at 64 MB.
+The matrix has a row per bucket and a column per language. More than ``WIDE`` languages share coarser buckets, by the leading bits of the hash,
+so its size stays within 128 MB.
 
 Defined cases: null texts and texts without letters get ``UNKNOWN`` with score 0, and so does all without labelled rows;
 rows without language are not learned from; ties go to the first language by name; repeated rows count as often as they
@@ -14,6 +15,7 @@ stand there; other columns pass through whatever their names.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from showroom.llm.hashing import mix
-from showroom.llm.shared import exact, hash_sample, with_fields
+from showroom.llm.shared import exact, fresh, hash_sample, with_fields
 from showroom.llm.words import SPACES, Words, separator_table, slices, words_of
 
 LONGEST = 3
@@ -34,7 +36,7 @@ SMOOTHING = 0.5
 UNKNOWN = "und"
 #: Bound of the labelled rows that are learned from.
 TRAINING_ROWS = 20_000
-MOST_LANGUAGES = 512
+WIDE = 512
 #: Words handled at once.
 _STEP = 100_000
 
@@ -133,19 +135,22 @@ def train(
     # One row per bucket and language of the sample.
     found = counts.toArrow()
     names = sorted(set(found["lang"].to_pylist()))
-    if len(names) > MOST_LANGUAGES:
-        raise ValueError(f"{len(names)} languages; the matrix is bounded at {MOST_LANGUAGES}")
-    column = np.array([names.index(x) for x in found["lang"].to_pylist()], np.int64)
+    fewer = max(0, math.ceil(math.log2(max(1, len(names)) / WIDE)))
+    place = {x: i for i, x in enumerate(names)}
+    column = np.array([place[x] for x in found["lang"].to_pylist()], np.int64)
     bucket, n = found["bucket"].to_numpy(), found["n"].to_numpy()
+    bits -= fewer
     table = np.full((1 << bits, len(names)), SMOOTHING)
     prior = np.full(len(names), SMOOTHING)
-    table[bucket[bucket >= 0], column[bucket >= 0]] += n[bucket >= 0]
+    np.add.at(table, (bucket[bucket >= 0] >> fewer, column[bucket >= 0]), n[bucket >= 0])
     prior[column[bucket < 0]] += n[bucket < 0]
     return Model(names, np.log(prior / max(prior.sum(), 1)), np.log(table / table.sum(axis=0, keepdims=True)), bits, longest)
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", result: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """All columns of ``docs``, the likeliest language and its probability."""
+    """All columns of ``docs``, the likeliest language and its probability. Names that ``docs`` has already are lengthened by ``_``."""
+    name = fresh(docs.columns, result[0])
+    result = (name, fresh([*docs.columns, name], result[1]))
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

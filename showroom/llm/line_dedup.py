@@ -56,8 +56,12 @@ def without_boilerplate(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", site: str = "source", result: str = "lines",
     sites: int = SITES, log_size: int = LOG_SIZE,
 ) -> DataFrame:
-    """All columns of ``docs`` and a struct ``result``: n_lines, n_removed, text (of the lines that stay)."""
+    """All columns of ``docs`` and a struct ``result``: n_lines, n_removed, text (of the lines that stay).
+
+    A name that ``docs`` has already is lengthened by ``_``.
+    """
     columns = docs.columns
+    result = fresh(columns, result)
     common = boilerplate(docs, text, site, sites, log_size).withColumnRenamed("line", "common")
     given = exact(text).cast("string")
     places = docs.select(

@@ -103,7 +103,11 @@ def cuts(
 def mix(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", result: str = "mix", seed: int = SEED, **options,
 ) -> DataFrame:
-    """All columns of ``docs`` and a struct ``result``: size, source_size, target, epochs, part, taken."""
+    """All columns of ``docs`` and a struct ``result``: size, source_size, target, epochs, part, taken.
+
+    A name that ``docs`` has already is lengthened by ``_``.
+    """
+    result = fresh(docs.columns, result)
     names = {c: fresh(docs.columns, f"mix_{c}") for c in ("source", "source_size", "target", "epochs", "cut", "part")}
     found = cuts(docs, doc_id, text, source, seed=seed, **options).select(*[F.col(c).alias(n) for c, n in names.items()])
     of = {c: F.col(n) for c, n in names.items()}

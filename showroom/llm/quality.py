@@ -70,6 +70,7 @@ def features(texts: pa.Array) -> np.ndarray:
     codes = words.codes.astype(np.int64)
     follows = np.zeros(len(codes), dtype=bool)
     follows[1:] = codes[1:] == codes[:-1]
+    follows[bounds[:-1][bounds[:-1] < len(codes)]] = False  # the word before is another text's
     pairs = np.concatenate([codes[:-1] * (codes.max() + 1) + codes[1:], codes[:1]]) if len(codes) else codes
     distinct, distinct_pairs, commonest = np.zeros((3, len(n)))
     for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
@@ -136,7 +137,10 @@ def _labels(labels: DataFrame, doc_id: str, label: str) -> DataFrame:
 def train(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", rows: int = TRAINING_ROWS,
 ) -> Classifier:
-    """Fit on about ``rows`` labelled documents, chosen by a hash of their id. The labels of these are broadcast."""
+    """Fit on about ``rows`` labelled documents, chosen by a hash of their id. The labels of these are broadcast.
+
+    Rows of one id count once for each text; should they make more than ``rows``, a hash chooses among them as well.
+    """
     sample = hash_sample(written(_labels(labels, doc_id, label), "quality-labels"), F.col("label_id"), rows)
     chosen = docs.select(exact(doc_id).alias("doc_id"), exact(text).cast("string").alias("text"))
     chosen = chosen.join(F.broadcast(sample), F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "y")
@@ -147,8 +151,9 @@ def train(
                 x = pa.array(list(features(batch["text"])), pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([batch["doc_id"].cast(pa.string()), batch["y"], x], names=["doc_id", "y", "x"])
 
+    measured = written(chosen.mapInArrow(run, "doc_id string, y double, x array<double>").distinct(), "quality-features")
     # A row of a dozen numbers per document of the sample.
-    found = chosen.mapInArrow(run, "doc_id string, y double, x array<double>").toArrow().sort_by([("doc_id", "ascending"), ("y", "ascending")])
+    found = hash_sample(measured, F.struct("doc_id", "x"), 2 * rows).toArrow().sort_by([("doc_id", "ascending"), ("y", "ascending")])
     x = np.array(found["x"].to_pylist(), np.float64).reshape(-1, len(FEATURES))
     return fit(x, found["y"].to_numpy())
 
@@ -198,8 +203,9 @@ def judge(
 
     ``document`` is the classifier's probability, ``host`` and ``path`` are the posterior rates, ``score`` is the combined
     probability of a good document. Texts are not shuffled as long as the table of posteriors is small enough
-    for Spark to broadcast.
+    for Spark to broadcast. A name that ``docs`` has already is lengthened by ``_``.
     """
+    result = fresh(docs.columns, result)
     model = train(docs, labels, doc_id, text, label, rows)
     rates = posteriors(docs, labels, exact(host), exact(path), doc_id, label)
     all_ = rates.where("level = 0").first()["rate"]

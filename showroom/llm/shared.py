@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from showroom.session import ensure_shared_folder
 
-HASH_RANGE = 1 << 20
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -31,7 +29,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def fresh(columns: Iterable[str], name: str) -> str:
-    """``name``, lengthened until it clashes with no column (Spark compares without case)."""
+    """``name``, lengthened by ``_`` until it clashes with no column (Spark compares without case)."""
     taken = {c.lower() for c in columns}
     while name.lower() in taken:
         name += "_"
@@ -44,12 +42,14 @@ def exact(name: str) -> Column:
 
 
 def hash_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
-    """About ``rows`` rows, chosen by a hash of ``key``: the same ones whatever the partitioning."""
+    """About ``rows`` rows, chosen by a hash of ``key``: the same ones whatever the partitioning.
+
+    The hash has 63 bits, so the number stays about ``rows`` at every size of ``df``.
+    """
     total = df.count()
     if total <= rows:
         return df
-    limit = max(1, rows * HASH_RANGE // total)
-    return df.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(HASH_RANGE)) < limit)
+    return df.where(F.shiftrightunsigned(F.xxhash64(key, F.lit("sample")), 1) < (rows << 63) // total)
 
 
 def join_heavy(left: DataFrame, right: DataFrame, key: str, rows: str, how: str = "inner") -> DataFrame:

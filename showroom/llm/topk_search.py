@@ -3,7 +3,7 @@
 Vectors fall into buckets by their length (powers of ``RATIO``), and a bucket of many rows into chunks of about ``CHUNK_ROWS``
 by a hash of the id. Queries go in blocks of about ``BLOCK_ROWS``. The chunk of the longest vectors is searched first; the
 k-th score found there is a floor for each query. A bucket whose longest vector cannot reach the floor is left out by
-the join. In the others a query needs a cosine of ``floor / (|q| * longest)``:
+the join, and its vectors go only to blocks of queries that need it. In the others a query needs a cosine of ``floor / (|q| * longest)``:
 
 * below ``COSINE`` the bucket is pruned by length, vector by vector;
 * from there on by coordinates: on its strongest ``FOCUS`` coordinates the query bounds what a vector of that cosine can have.
@@ -11,7 +11,7 @@ the join. In the others a query needs a cosine of ``floor / (|q| * longest)``:
 What remains is verified with whole inner products. Each chunk gives at most k rows per query, from which an aggregate window picks.
 
 Numbers are exact: components are whole numbers, products are formed in floating point only while all of them are below
-2 ** 53, and bounds are widened by more than their rounding errors.
+2 ** 53, and bounds are widened by more than their rounding errors. A score beyond 64 bits counts as the nearest number of 64 bits (see ``whole``).
 
 Defined cases: vectors that are null or hold null or non-finite components take no part; a vector is compared with those of
 its own dimension only; rows with the query's own id are not its candidates; repeated rows are candidates each, and a query
@@ -20,6 +20,7 @@ that repeats answers once; rows without id take no part; ties go to the smaller
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
 import numpy as np
@@ -28,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from showroom.llm.shared import exact, written
+from showroom.llm.whole import matrix, products, whole_numbers
 
 K = 10
 SCALE = 1024
@@ -41,18 +43,11 @@ MARGIN = 1e-9
 _FOUND = "q bigint, query_id bigint, vec_id bigint, score bigint"
 
 
-def whole_numbers(vector: Column, scale: int = SCALE) -> Column:
-    """``floor(scale * x)`` of every component, or null if one is null or not finite."""
-    fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
-    return F.when(fine, F.transform(vector, lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("bigint")))
-
-
-def _products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Exact inner products of one vector with the rows of a matrix."""
-    most = float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0)) * max(1, len(q))
-    if most < 2**53:
-        return (v.astype(np.float64) @ q.astype(np.float64)).astype(np.int64)
-    return v @ q
+def lengths(rows: np.ndarray) -> np.ndarray:
+    """Of the rows of a matrix, also where squares are beyond a double."""
+    largest = np.abs(rows).max(axis=1, initial=0.0)
+    parts = rows / np.where(largest > 0, largest, 1)[:, None]
+    return np.minimum(largest * np.sqrt((parts**2).sum(axis=1)), np.finfo(np.float64).max)
 
 
 def search(queries: np.ndarray, vectors: np.ndarray, floors: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -62,13 +57,12 @@ def search(queries: np.ndarray, vectors: np.ndarray, floors: np.ndarray, own: np
     """
     order = np.argsort(ids, kind="stable")
     vectors, ids = vectors[order], ids[order]
-    length = np.sqrt((vectors.astype(np.float64) ** 2).sum(axis=1))
+    length = lengths(vectors)
     longest = length.max(initial=0.0)
     unit = vectors / np.where(length > 0, length, 1)[:, None]
     columns = np.ascontiguousarray(unit.T)
     out = []
-    for q, floor, me in zip(queries, floors, own, strict=True):
-        size = float(np.sqrt((q.astype(np.float64) ** 2).sum()))
+    for q, size, floor, me in zip(queries, lengths(queries).tolist(), floors, own, strict=True):
         here = ids != me
         if np.isfinite(floor):
             # The least cosine with which a vector of the largest length reaches the floor.
@@ -88,7 +82,7 @@ def search(queries: np.ndarray, vectors: np.ndarray, floors: np.ndarray, own: np
                     high = x * need + reach if x < need else 1.0
                     here &= (columns[f] >= low) & (columns[f] <= high)
         place = np.flatnonzero(here)
-        score = _products(q, vectors[place])
+        score = products(q, vectors[place])
         if np.isfinite(floor):
             good = score >= floor
             place, score = place[good], score[good]
@@ -102,12 +96,6 @@ def search(queries: np.ndarray, vectors: np.ndarray, floors: np.ndarray, own: np
     return out
 
 
-def _matrix(column: pa.ChunkedArray, rows: int) -> np.ndarray:
-    flat = column.combine_chunks()
-    flat = flat.flatten() if len(flat) else pa.array([], pa.int64())
-    return flat.to_numpy(zero_copy_only=False).astype(np.int64).reshape(rows, -1)
-
-
 def _run(k: int) -> Callable:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         """Queries and candidates of one block and chunk."""
@@ -115,7 +103,7 @@ def _run(k: int) -> Callable:
             return pa.table({"q": pa.array([], pa.int64()), "query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.int64())})
         ids, own = right["vec_id"].to_numpy(), left["query_id"].to_numpy()
         floors = left["floor"].to_numpy().astype(np.float64)
-        found = search(_matrix(left["v"], left.num_rows), _matrix(right["v"], right.num_rows), floors, own, ids, k)
+        found = search(matrix(left["v"], left.num_rows), matrix(right["v"], right.num_rows), floors, own, ids, k)
         n = [len(p) for p, _ in found]
         place = np.concatenate([p for p, _ in found])
         return pa.table({
@@ -143,9 +131,12 @@ def top_k(
     """Rows (query_id, rank, vec_id, score): the k best rows of every row for which ``is_query`` holds."""
     rows = vectors.select(exact(vec_id).cast("bigint").alias("vec_id"), whole_numbers(exact(vector), scale).alias("v"), is_query.alias("is_query"))
     rows = rows.where("vec_id IS NOT NULL AND v IS NOT NULL").withColumn("dim", F.size("v"))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    largest = F.coalesce(F.array_max(F.transform("v", F.abs)), F.lit(0.0))
+    squares = F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / F.col("largest")) * (x / F.col("largest")))
+    norm = F.when(F.col("largest") > 0, F.least(F.col("largest") * F.sqrt(squares), F.lit(sys.float_info.max))).otherwise(F.lit(0.0))
     bucket = F.when(F.col("norm") > 0, F.floor(F.log("norm") / F.log(F.lit(RATIO)))).otherwise(F.lit(-(1 << 20)))
-    rows = written(rows.withColumn("norm", norm).withColumn("bucket", bucket.cast("bigint")), "search-vectors")
+    rows = rows.withColumn("largest", largest).withColumn("norm", norm).withColumn("bucket", bucket.cast("bigint")).drop("largest")
+    rows = written(rows, "search-vectors")
     # A row per bucket of lengths: the powers of ``RATIO`` between the shortest and the longest.
     buckets = rows.groupBy("dim", "bucket").agg(F.max("norm").alias("longest"), F.ceil(F.count("*") / chunk_rows).alias("chunks"))
     buckets = written(buckets, "search-buckets")
@@ -158,8 +149,9 @@ def top_k(
 
     first = buckets.groupBy("dim").agg(F.max("bucket").alias("bucket"))
     seeds = queries.join(first, "dim").withColumn("chunk", F.lit(0).cast("bigint")).withColumn("floor", F.lit(float("-inf")))
-    spread = placed.join(blocks, "dim").withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))).drop("blocks")
-    seeded = written(_searched(seeds, spread.where("chunk = 0").join(first, ["dim", "bucket"], "left_semi"), k), "search-seeds")
+    begin = placed.where("chunk = 0").join(first, ["dim", "bucket"], "left_semi").join(blocks, "dim")
+    begin = begin.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))).drop("blocks")
+    seeded = written(_searched(seeds, begin, k), "search-seeds")
     floors = seeded.groupBy("q", "query_id").agg(F.count("*").alias("n"), F.min("score").alias("least"))
     floors = floors.select("q", "query_id", F.when(F.col("n") >= k, F.col("least").cast("double")).alias("floor"))
     ready = queries.join(floors, ["q", "query_id"], "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
@@ -169,5 +161,7 @@ def top_k(
         "chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1))).where("NOT (bucket = top AND chunk = 0)")
     sent = ready.join(chunks.select("dim", "bucket", "chunk", "longest"), "dim").where(
         F.col("norm") * F.col("longest") * (1 + MARGIN) >= F.col("floor"))
-    rest = _searched(sent.select("dim", "bucket", "chunk", "block", "q", "query_id", "v", "floor"), spread, k)
+    sent = sent.select("dim", "bucket", "chunk", "block", "q", "query_id", "v", "floor")
+    needed = written(sent.select("dim", "bucket", "chunk", "block").distinct(), "search-needed")
+    rest = _searched(sent, placed.join(needed, ["dim", "bucket", "chunk"]), k)
     return _best(seeded.union(rest), k).select("query_id", "rank", "vec_id", "score")

@@ -23,7 +23,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from showroom.llm.shared import exact, hash_sample, written
+from showroom.llm.shared import exact, fresh, hash_sample, written
 
 ALLOW, BLOCK = "allow", "block"
 #: Bound of the labelled URLs that the trees are trained on.
@@ -150,7 +150,11 @@ def train(urls: DataFrame, url: str = "url", label: str = "allowed", rows: int =
 
 
 def judge(pages: DataFrame, rules: list[Rule], url: str = "url", result: str = "url_verdict", **options) -> DataFrame:
-    """All columns of ``pages`` and a struct ``result``: host, path, rule, verdict."""
+    """All columns of ``pages`` and a struct ``result``: host, path, rule, verdict.
+
+    A name that ``pages`` has already is lengthened by ``_``.
+    """
+    result = fresh(pages.columns, result)
     given = exact(url).cast("string")
     host, path = host_of(given), path_of(given)
     verdict = rule_of(host, path, rules, "verdict")

@@ -79,14 +79,79 @@ def test_models_find_random_strings(spark, make):
     ratio = se.train(docs, key=F.col("doc_id"))
     pick = random.Random(1)
     strings = ["".join(pick.choices("abcdefABCDEF0123456789xyzXYZ", k=32)) for _ in range(50)]
-    found = [bool(se.spans_of(f"the {s} and", ratio)[1]) for s in strings]
-    assert sum(found) >= 45
+    found = [more for _, more in se.spans_of([f"the {s} and" for s in strings], ratio)]
+    assert sum(map(bool, found)) >= 45
+    short = ["".join(pick.choices("bcdfghjkqvwxzBCDFGHJKQVWXZ0123456789", k=18)) for _ in range(50)]
+    assert sum(bool(more) for _, more in se.spans_of([f"the {s} and" for s in short], ratio)) >= 40
+    # Inside a path and behind a name the stretch is the secret, give or take a character.
+    inside = [(f"see var/lib/onthtion/{s}/thnderstanding", 21) for s in strings] + [(f"NATION_ACCESS_THE={s} end", 18) for s in strings]
+    hits = [any(min(b, at + 32) - max(a, at) >= 28 and b - a <= 40 for a, k, b in more if k == 3) for (_, at), (_, more) in zip(inside, se.spans_of([t for t, _ in inside], ratio), strict=True)]
+    assert sum(hits) >= 90
     plain_words = ["einstlichenkeitgeachung", "the_quick_brown_fox_jumps", "onthtionwhonattionnd", "=" * 60, "get_user_by_name_or_email"]
-    assert [se.spans_of(w, ratio)[1] for w in plain_words[:3]] == [[], [], []]
+    assert [more for _, more in se.spans_of(plain_words[:3], ratio)] == [[], [], []]
     clean = se.scan(docs, ratio)
     assert clean.where("secrets.n_markov > 0").count() <= 2
 
 
+def plain_spans(text, ratio, threshold):
+    """The same stretches by trying all of a run."""
+    base = plain(text)
+    free = [not any(a <= i < b for a, _, b in base) for i in range(len(text))]
+    alphabet = set(se.ALPHABET) | set(se.ALPHABET.upper())
+    value = lambda i: ratio[se.ALPHABET.index(text[i].lower()) * len(se.ALPHABET) + se.ALPHABET.index(text[i + 1].lower())]
+    out = []
+
+    def search(a, b):
+        if b - a < se.LEAST:
+            return
+        best = max(((sum(value(i) for i in range(x, y - 1)), -x, -y) for x in range(a, b) for y in range(x + 2, b + 1)), default=(0, 0, 0))
+        if best[0] > threshold + 1e-9:
+            x, y = -best[1], -best[2]
+            if y - x >= se.LEAST:
+                out.append((x, 3, y))
+            search(a, x)
+            search(y, b)
+
+    whole = [(m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9+/]+={0,2}", text) if len(m[0].rstrip("=")) >= se.LEAST]
+    for start, end in whole:
+        i = start
+        while i < end:
+            j = i
+            while j < end and free[j] and text[j] in alphabet:
+                j += 1
+            search(i, j)
+            i = max(j, i + 1)
+    return sorted(base + out)
+
+
+def test_stretches_equal_plain_ones():
+    pick = random.Random(8)
+    ratio = np.random.default_rng(8).integers(-4, 4, len(se.ALPHABET) ** 2) / 1.0
+    texts = ["".join(pick.choices("abcDE01+/ é", k=pick.randrange(60))) + pick.choice(["", "token=abcdefghijkl", "deadbeef00112233"]) for _ in range(300)]
+    for text, (base, found) in zip(texts, se.spans_of(texts, ratio, 6.0), strict=True):
+        assert base == plain(text) and found == plain_spans(text, ratio, 6.0), text
+
+
+def test_many_languages(make):
+    names = [f"l{i:03}" for i in range(600)]
+    rows = [(i, f"{n}x {n}y {n}z " * 3, n) for i, n in enumerate(names)]
+    docs = make(rows, "doc_id bigint, text string, lang string")
+    model = li.train(docs, key=F.col("doc_id"))
+    assert model.bits == li.BITS - 1 and model.weights.shape == (1 << model.bits, 600)
+    got = [(r.lang, r.lang_pred) for r in li.predict(docs, model).collect()]
+    assert sum(a == b for a, b in got) > 590
+
+
+def test_names_that_clash(make):
+    docs = make([(1, "token=abcdefghijkl", "en", 7, 8)], "doc_id bigint, text string, lang string, Score int, secrets int")
+    found = li.predict(docs, li.train(docs, key=F.col("doc_id")))
+    assert found.columns == [*docs.columns, "lang_pred", "score_"] and found.first()["Score"] == 7
+    again = li.predict(found, li.train(docs, key=F.col("doc_id")))
+    assert again.columns == [*found.columns, "lang_pred_", "score__"]
+    found = se.scan(docs, se.train(docs, key=F.col("doc_id")))
+    assert found.columns == [*docs.columns, "secrets_"] and found.first()["secrets"] == 8 and found.first()["secrets_"]["n_assign"] == 1
+
+
 def test_odd_rows_of_secrets(make):
     rows = [(1, None, "k"), (2, "", "k"), (3, "x " * 500_000 + "AKIA" + "A" * 16, "k"), (4, "token=abcdefghijkl", "k"), (4, "token=abcdefghijkl", "k")]
     docs = make(rows, "doc_id bigint, text string, spans string")

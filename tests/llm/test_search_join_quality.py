@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from showroom.llm import jaccard_join as jj
 from showroom.llm import quality, topk_search
 from showroom.llm.components import components
+from showroom.llm.whole import LEAST, MOST
 from showroom.llm.words import SPACES, separator_table, words_of
 
 DATA = "/root/testdata/sf0.01"
@@ -22,7 +23,7 @@ def plain_top(rows, is_query, k):
     fine = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = set()
     for me, q in {(i, tuple(v)) for i, v in fine if is_query(i)}:
-        found = sorted((-sum(a * b for a, b in zip(q, v)), i) for i, v in fine if i != me and len(v) == len(q))[:k]
+        found = sorted((-min(max(sum(a * b for a, b in zip(q, v)), LEAST), MOST), i) for i, v in fine if i != me and len(v) == len(q))[:k]
         out |= {(me, r + 1, i, -s) for r, (s, i) in enumerate(found)}
     return out
 
@@ -41,10 +42,13 @@ def test_search_equals_brute_force(make, seed):
 
 
 def test_large_numbers_and_no_rows(make):
-    rows = [(i, [float(2**40 + i), 3.0 * i]) for i in range(20)]
+    """Scores are exact up to 64 bits; those beyond count as the nearest number of 64 bits."""
+    rows = [(i, [float(2**18 + i), 3.0 * i]) for i in range(20)]
+    rows += [(20 + i, [float(2**k) * (1 + i % 3), -3.0 * i]) for i, k in enumerate([10, 20, 21, 20, 21, 900] * 4)]
     table = make(rows, "vec_id bigint, embedding array<double>")
-    got = {tuple(r) for r in topk_search.top_k(table, F.col("vec_id") == 0, k=3, scale=1).collect()}
-    assert got == {(0, r + 1, 19 - r, 2**40 * (2**40 + 19 - r)) for r in range(3)} or len(got) == 3
+    got = {tuple(r) for r in topk_search.top_k(table, F.col("vec_id") % 3 == 0, k=7, chunk_rows=9, block_rows=4).collect()}
+    assert got == plain_top(rows, lambda i: i % 3 == 0, 7)
+    assert {s for _, _, _, s in got} & {MOST} and any(2**53 < s < MOST for _, _, _, s in got)
     assert topk_search.top_k(table.limit(0), F.col("vec_id") == 0).count() == 0
     assert topk_search.top_k(table, F.lit(False)).count() == 0
 
@@ -195,6 +199,57 @@ def test_site_evidence_moves_a_document(make):
     assert kept.schema.simpleString() == docs.schema.simpleString()
 
 
+def plain_strength(groups):
+    """Of (n, good, rate of the parent): by moments, within the bounds."""
+    excess = sum(n * (g / n - p) ** 2 for n, g, p in groups) - sum(p * (1 - p) for _, _, p in groups)
+    room = sum(p * (1 - p) * (n - 1) for n, _, p in groups)
+    rho = excess / room if room > 0 else 0
+    low, high = quality.STRENGTH
+    return min(max(1 / rho - 1, low), high) if rho > 0 else high
+
+
+def test_scores_equal_plain_ones(make):
+    """Rates of hosts and paths, and the combined score, from their formulas; the document's share from its features."""
+    pick = random.Random(6)
+    rows, labels = [], {}
+    for i in range(400):
+        good = pick.random() < {"a": 0.9, "b": 0.4, None: 0.6}[host := pick.choice(["a", "b", None])]
+        text = " ".join(pick.choices(["alpha", "beta", "gamma", "delta"] if good else ["!!", "AAA", "9", "alpha"], k=pick.randrange(1, 40)))
+        rows.append((i, text, host, pick.choice(["x", "y", None])))
+        if i % 2:
+            labels[i] = int(good)
+    docs = make(rows, "doc_id bigint, text string, source string, lang string")
+    table = make(list(labels.items()), "doc_id bigint, quality int")
+    model = quality.train(docs, table)
+    all_ = (sum(labels.values()) + 0.5) / (len(labels) + 1)
+
+    def counted(key):
+        out = {}
+        for i, _, host, path in rows:
+            if i in labels:
+                n, g = out.get(key(host, path), (0, 0))
+                out[key(host, path)] = (n + 1, g + labels[i])
+        return out
+
+    hosts, paths = counted(lambda h, p: h), counted(lambda h, p: (h, p))
+    m = plain_strength([(n, g, all_) for n, g in hosts.values()])
+    of_host = {h: (g + m * all_) / (n + m) for h, (n, g) in hosts.items()}
+    m = plain_strength([(n, g, of_host[h]) for (h, _), (n, g) in paths.items()])
+    of_path = {(h, p): (g + m * of_host[h]) / (n + m) for (h, p), (n, g) in paths.items()}
+    for r in quality.judge(docs, table).collect():
+        odds = float(model.log_odds(quality.features(pa.array([r.text])))[0])
+        host, path = of_host.get(r.source, all_), of_path.get((r.source, r.lang), of_host.get(r.source, all_))
+        score = 1 / (1 + np.exp(-(np.log(path / (1 - path)) + odds - model.base)))
+        assert (r.quality.document, r.quality.host, r.quality.path, r.quality.score) == pytest.approx((1 / (1 + np.exp(-odds)), host, path, score))
+        assert r.quality.kept == (score >= quality.KEEP)
+
+
+def test_repeated_labelled_rows_are_bounded(make):
+    docs = make([(i % 3, f"some text {i % 50} here", "s", "en") for i in range(600)], "doc_id bigint, text string, source string, lang string")
+    labels = make([(0, 1), (1, 0), (2, 1)], "doc_id bigint, quality int")
+    assert quality.judge(docs, labels, rows=3).count() == 600
+
+
 def test_without_labels_all_stay(make):
     docs = make([(1, "a", "s", "en"), (2, None, None, None)], "doc_id bigint, text string, source string, lang string")
     none = make([], "doc_id bigint, quality int")
