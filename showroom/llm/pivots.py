@@ -5,7 +5,7 @@ For the others, x and y, the differences from their pivot decide: they link only
 where ``x - y`` are the numbers in one of them only; and since ``|x - y| = |x - p| + |y - p| - 2 * (common differences from p)``, two members of
 different components have to share differences from the pivot: x at least ``(|x - p| - k * |x| + least of (|y - p| - k * |y|)) / 2``. So the
 differences are the n-grams of a smaller search of the same kind: of each member all but the most common ones that may be missed become
-new buckets (pivot, difference); buckets of the same members are one. In those of ``SMALL`` members or fewer each is compared with the others of
+new buckets (pivot, difference); buckets of the same members are one. In buckets of ``SMALL`` members or fewer each is compared with the others of
 other components, unless their distances from the pivot rule it out; larger ones get a pivot again. A bucket gets smaller with every
 round, at least by its pivot; rounds end when no large bucket is left.
 
@@ -64,23 +64,45 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _pivots(members: DataFrame) -> DataFrame:
-    """Rows (key, rows, b) of buckets of several components: the pivot is one of the smallest component there."""
-    groups = members.groupBy("key", "comp").agg(F.count("*").alias("n"), F.min("cls").alias("m"))
-    found = groups.groupBy("key").agg(F.count("*").alias("c"), F.sum("n").alias("rows"), F.min(F.struct("n", "m")).alias("p"))
-    return found.where("c > 1").select("key", "rows", F.col("p.m").alias("b"))
+    """Rows (key, rows, b) of buckets of several components: the pivot is of the smallest component there, and the first of it by turn and length."""
+    groups = members.groupBy("key", "comp").agg(F.count("*").alias("rows"), F.min(F.struct("turn", "n", "cls")).alias("m"))
+    found = groups.groupBy("key").agg(F.count("*").alias("c"), F.sum("rows").alias("rows"), F.min(F.struct("rows", "m")).alias("p"))
+    return found.where("c > 1").select("key", "rows", F.col("p.m.cls").alias("b"))
 
 
-def _closer(pairs: DataFrame, parts: DataFrame, joined: DataFrame, percent: int) -> DataFrame | None:
-    """The buckets (key, cls, comp, n, d, size) in which pairs of different components can still link, or None; ``d`` is the distance from the pivot."""
+def _open(pairs: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
+    """Rows (b, a, comp, n, d, v, size, closest): the members around a pivot that can link with one of another component there.
+
+    ``d`` is the distance from the pivot. Two members are as far apart as their distances differ, at least; so with ``v = d - k * n`` and
+    ``w = d + k * n`` (times 100 + percent), x can link with y only if ``v`` of x is at most ``w`` of y, and the other way round.
+    """
     most, k = 100 + percent, 100 - percent
     named = pairs.join(joined.select(F.col("node").alias("a"), "component"), "a", "left").withColumn("comp", F.coalesce("component", "a"))
-    named = named.withColumn("d", F.expr("na + nb - 2 * o")).withColumn("v", F.expr(f"{most} * d - {k} * na"))
-    groups = named.groupBy("b").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("v").alias("closest")).where("lo <> hi")
-    least = F.expr(f"greatest(1, ceil((v + closest) / {2 * most}))")
-    open_ = written(named.join(groups, "b").select("a", "b", "comp", "na", "d", least.alias("least")), "open-members")
+    named = named.withColumn("d", F.expr("na + nb - 2 * o")).select(
+        "b", "a", "comp", F.col("na").alias("n"), "d", F.expr(f"{most} * d - {k} * na").alias("v"), F.expr(f"{most} * d + {k} * na").alias("w"))
+    groups = named.groupBy("b", "comp").agg(F.max("w").alias("w"), F.min("v").alias("v"))
+    first = groups.groupBy("b").agg(F.count("*").alias("c"), F.max(F.struct("w", "comp")).alias("far"), F.min(F.struct("v", "comp")).alias("near")).where("c > 1")
+    # Of the other components than those of the extremes.
+    rest = groups.join(first, "b").groupBy("b").agg(
+        F.first("far").alias("far"), F.first("near").alias("near"),
+        F.max(F.when(F.col("comp") != F.col("far.comp"), F.col("w"))).alias("far2"), F.min(F.when(F.col("comp") != F.col("near.comp"), F.col("v"))).alias("near2"))
+    fits = "v <= IF(comp = far.comp, far2, far.w) AND w >= IF(comp = near.comp, near2, near.v)"
+    kept = written(named.join(rest, "b").where(fits).select("b", "a", "comp", "n", "d", "v"), "open-members")
+    sizes = kept.groupBy("b").agg(F.count("*").alias("size"), F.min("v").alias("closest"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    return written(kept.join(sizes.drop("lo", "hi"), "b"), "open-groups")
+
+
+def _closer(pairs: DataFrame, parts: DataFrame, joined: DataFrame, percent: int) -> DataFrame | None:
+    """The buckets (key, cls, comp, n, d, size) in which pairs of different components can still link, or None."""
+    open_ = _open(pairs, joined, percent)
     if open_.isEmpty():
         return None
-    items = parts.join(open_.select("a", "b", "comp", "least"), ["a", "b"]).select("b", "a", "comp", "least", F.explode("only").alias("item"))
+    small = open_.where(F.col("size") <= SMALL).select(F.col("b").alias("key"), F.col("a").alias("cls"), "comp", "n", "d", "size")
+    least = F.expr(f"greatest(1, ceil((v + closest) / {2 * (100 + percent)}))")
+    large = open_.where(F.col("size") > SMALL).select("a", "b", "comp", "n", "d", least.alias("least"))
+    if large.isEmpty():
+        return small
+    items = parts.join(large.select("a", "b", "comp", "least"), ["a", "b"]).select("b", "a", "comp", "least", F.explode("only").alias("item"))
     items = written(items, "open-differences")
     counts = items.groupBy("b", "item").agg(F.count("*").alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
     shared = items.join(counts.select("b", "item", "c"), ["b", "item"])
@@ -90,10 +112,10 @@ def _closer(pairs: DataFrame, parts: DataFrame, joined: DataFrame, percent: int)
     # Buckets of one pivot and the same members are one.
     same = rare.groupBy("b", "item").agg(
         F.count("*").alias("size"), F.bit_xor(F.xxhash64("a")).alias("x"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    same = same.groupBy(F.xxhash64("b", "size", "x").alias("key")).agg(F.max("size").alias("size"), F.min("b").alias("b"), F.min("item").alias("item"))
-    members = rare.join(same, ["b", "item"]).join(open_.select("a", "b", "na", "d"), ["a", "b"])
-    members = written(members.select("key", F.col("a").alias("cls"), "comp", F.col("na").alias("n"), "d", "size"), "open-buckets")
-    return None if members.isEmpty() else members
+    same = same.groupBy(F.xxhash64("b", "size", "x").alias("key")).agg(F.max("size").alias("size"), F.min(F.struct("b", "item")).alias("first"))
+    same = same.select("key", "size", "first.b", "first.item")
+    members = rare.join(same, ["b", "item"]).join(large.select("a", "b", "n", "d"), ["a", "b"])
+    return written(small.unionByName(members.select("key", F.col("a").alias("cls"), "comp", "n", "d", "size")), "open-buckets")
 
 
 def _within(members: DataFrame, percent: int) -> DataFrame:
@@ -104,6 +126,21 @@ def _within(members: DataFrame, percent: int) -> DataFrame:
     return one.join(other, F.expr(near)).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
 
 
+def _clusters(buckets: DataFrame, sets: DataFrame) -> DataFrame:
+    """One bucket (key, cls, comp, n, turn) for all that hang together by buckets, so that a class has one pivot, not one for each of its buckets.
+
+    The pivot comes from the largest of these buckets: ``turn`` is the lowest for it.
+    """
+    first = buckets.groupBy("key").agg(F.count("*").alias("rows"), F.min("cls").alias("b")).where("rows > 1")
+    stars = join_heavy(buckets.select("key", "cls"), first, "key", "rows").where("cls <> b").select(F.col("cls").alias("a"), "b")
+    hanging = components(forest(written(stars.distinct(), "bucket-stars")))
+    sizes = sets.where("piece = 0").select(F.col("cls").alias("node"), "n")
+    often = first.groupBy(F.col("b").alias("node")).agg((-F.max("rows")).alias("turn"))
+    named = hanging.join(sizes, "node").join(often, "node", "left").select(
+        F.col("component").alias("key"), F.col("node").alias("cls"), F.col("node").alias("comp"), "n", F.coalesce("turn", F.lit(0)).alias("turn"))
+    return written(named, "bucket-clusters")
+
+
 def connected(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Rows (node, component) of the linked classes in ``buckets`` (key, cls): the smallest class reachable.
 
@@ -112,7 +149,7 @@ def connected(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """
     linked = f"100 * o >= {percent} * (na + nb - o)"
     sums = [F.max("na").alias("na"), F.max("nb").alias("nb"), F.sum("o").alias("o")]
-    large, found = buckets.withColumn("comp", F.col("cls")), None
+    large, found = _clusters(buckets, sets), None
     links = done = None
     while True:
         if large is not None:
@@ -131,5 +168,5 @@ def connected(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         inside = _within(members, percent).join(done, ["a", "b"], "left_anti")
         inside = _beside(written(inside, "pivot-inside"), sets).withColumn("o", F.size(F.array_intersect("mine", "part")))
         found = written(inside.groupBy("a", "b").agg(*sums), "pivot-inside-pairs")
-        large = members.where(F.col("size") > SMALL)
+        large = members.where(F.col("size") > SMALL).withColumn("turn", F.lit(0))
         large = None if large.isEmpty() else large
