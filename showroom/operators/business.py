@@ -146,6 +146,15 @@ def recommend(table: DataFrame, tolerance: float = 0.01) -> DataFrame:
     return near.orderBy(*[value(c).desc() for c in names[1:]], "model_name").drop("__best").limit(1)
 
 
+def side_by_side(df: DataFrame, judgements: dict[str, Column], row_id: str = v.LEAD_ID) -> DataFrame:
+    """Id, the judgement of every model, and whether all agree. One projection of the same row: nothing is joined by position or id."""
+    said = list(judgements.values())
+    agree = F.lit(True)
+    for other in said[1:]:
+        agree = agree & said[0].eqNullSafe(other)
+    return df.select(named(row_id), *[c.alias(n) for n, c in judgements.items()], agree.alias("agree"))
+
+
 def ensemble_evaluation(df: DataFrame, label: str, score: str, row_id: str, ks: Sequence[int]) -> DataFrame:
     """AUC, accuracy at 0.5 and the top-k table of one model of an ensemble."""
     right = (named(score) >= 0.5).cast("int") == named(label).cast("int")

@@ -313,3 +313,19 @@ FROM r, (VALUES (100), (500)) q(top) GROUP BY top""")
 def ensemble_evaluation(spark, folder):
     out = bz.ensemble_evaluation(scored(spark, folder), "y", "s", "id", (100, 500))
     return tidy(out.select("k", "hit_count", "accuracy", "auc"))
+
+
+SAID_SQL = {
+    "two_stage": "CASE WHEN p7 >= 0.5 THEN 'H' WHEN p14 >= p21 THEN 'A' ELSE 'B' END",
+    "highest": "CASE WHEN ph >= pa AND ph >= pb THEN 'H' WHEN pa >= pb THEN 'A' ELSE 'B' END",
+    "thresholds": "CASE WHEN ph >= 0.45 THEN 'H' WHEN pb >= 0.25 THEN 'B' ELSE 'A' END"}
+
+
+@query("j8_side_by_side", LEADS_SQL + ", j AS (SELECT id, ph, pa, pb, " + ", ".join(f"{c} AS {n}" for n, c in SAID_SQL.items()) + """ FROM scored)
+SELECT id, two_stage, highest, thresholds, two_stage = highest AND highest = thresholds AS agree FROM j""")
+def side_by_side(spark, folder):
+    p = {c: F.col(x) for c, x in PROBS.items()}
+    out = bz.side_by_side(leads(spark, folder, "classes"), {
+        "two_stage": rt.combine_stages(F.col("p7"), F.col("p14"), F.col("p21"), 0.5)[v.PREDICTED], "highest": rt.argmax_label(p),
+        "thresholds": rt.apply_policy(p, {"strategy": "hab_threshold", "h_threshold": 0.45, "b_threshold": 0.25})})
+    return out.withColumnRenamed(v.LEAD_ID, "id")
