@@ -3,6 +3,9 @@
 Documents judged bad go; of each group of similar documents the one of the smallest id stays; passages of the benchmark are
 cut out, and documents that mostly consist of them go; sources are mixed to their target weights, which repeats some
 documents and leaves out others; and the token ids of the mix are written to files and read back.
+
+Defined cases: all columns of the documents go along to the mix, whatever their names; a null or empty text has no words, is judged like any text, links
+with nothing and is taken 0 words of; rows without id stay until the mix; repeated rows of one text are one group; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -19,18 +22,22 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that are not judged bad. Without labels, all of them."""
     return quality.good(docs, table(spark, folder, "labels"))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Of each group of linked documents the one of the smallest id; documents without words or id stay."""
     return jaccard_join.first_of_each(docs)
 
 
 def without_test_items(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Texts without passages of the benchmark; documents that mostly consist of them go. Without test items nothing changes."""
     return decontaminate.decontaminate(docs, table(spark, folder, "benchmark"))
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents as often as the mix takes them, the last of a source cut to the words that its target leaves; ties go by key, then id."""
     return mixing.mixed(docs)
 
 
