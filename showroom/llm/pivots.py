@@ -24,7 +24,7 @@ from showroom.llm.components import components
 from showroom.llm.shared import join_heavy, written
 
 #: Members of a bucket that are compared with each other, not with a pivot only.
-SMALL = 16
+SMALL = 64
 
 
 def forest(links: DataFrame) -> DataFrame:
