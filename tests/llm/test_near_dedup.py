@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from showroom.llm import near_dedup as nd
+from showroom.llm import pivots
 from showroom.llm.hashing import mix
 from showroom.llm.pivots import connected, forest
 
@@ -81,8 +82,9 @@ def test_odd_rows(make):
 
 
 @pytest.mark.parametrize("seed", range(2))
-def test_pivots_leave_no_pair_of_a_bucket_out(spark, make, seed):
-    """Members of one bucket that are far from each other, near in pairs, and in groups; and pairs that share no bucket."""
+def test_pivots_leave_no_pair_of_a_bucket_out(spark, make, seed, monkeypatch):
+    """Members of one bucket that are far from each other, near in pairs, and in groups; every pair of a cluster of buckets is found."""
+    monkeypatch.setattr(pivots, "SMALL", 4)  # several rounds
     pick = random.Random(seed)
     core = set(pick.sample(range(10**6), 60))
     sets, buckets = {}, []
@@ -95,7 +97,8 @@ def test_pivots_leave_no_pair_of_a_bucket_out(spark, make, seed):
     of = {c: {k for k, x in buckets if x == c} for c in sets}
     parts = [(c, len(s), p, sorted(x for x in s if x % 4 == p)) for c, s in sets.items() for p in range(4)]
     found = connected(make(buckets, "key bigint, cls bigint"), make(parts, "cls bigint, n bigint, piece int, part array<bigint>"), 80)
-    want = grouped(sets, 80, lambda x, y: bool(of[x] & of[y]))
+    hangs = grouped({c: frozenset(of[c]) for c in sets}, 0)
+    want = grouped(sets, 80, lambda x, y: hangs[x] == hangs[y])
     got = {r["node"]: r["component"] for r in found.collect()}
     assert {c: got.get(c, c) for c in sets} == want and len(set(want.values())) < len(sets)
 
