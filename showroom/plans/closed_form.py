@@ -82,8 +82,8 @@ class ClosedFormModel(LeadModel):
     @staticmethod
     def restore(spark: SparkSession, path: str, meta: dict) -> ClosedFormModel:
         return ClosedFormModel(
-            meta["label"], meta["classes"], meta["features"], FeatureKinds(*meta["kinds"]), meta["family"], None, [], meta["info"], None,
-            spark.read.parquet(f"{path}/table"), meta["unseen"], meta["prior"], meta["borders"], meta["shares"])
+            meta["label"], meta["classes"], meta["features"], FeatureKinds(*meta["kinds"]), meta["family"], None, [], meta["info"],
+            table=spark.read.parquet(f"{path}/table"), unseen=meta["unseen"], prior=meta["prior"], borders=meta["borders"], shares=meta["shares"])
 
 
 def fit(

@@ -9,7 +9,7 @@ from showroom.queries.registry import QUERIES, SQL, Query
 MODULES = [
     "join_queries", "contract_queries", "feature_queries", "mask_queries", "profile_queries", "split_queries",
     "rating_queries", "metric_queries", "model_queries",
-    "closed_form_queries",
+    "closed_form_queries", "statistics_queries",
 ]
 
 
