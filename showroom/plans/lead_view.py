@@ -31,8 +31,15 @@ def _cents(factor: int = 1) -> Column:
     return F.pmod(whole * factor, F.lit(1000)) / 1000.0
 
 
+ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus", "o_totalprice")
+
+
 def base(spark: SparkSession, folder: str) -> DataFrame:
     """One row per order: ids, creation, rating, first touch, yes/no answers, probabilities."""
+    return table(spark, folder, "orders").select(*_base_columns())
+
+
+def _base_columns() -> list[Column]:
     level = F.substring("o_orderpriority", 1, 1)
     rating = F.lit(None).cast("string")
     for mark, name in RATINGS.items():
@@ -41,7 +48,7 @@ def base(spark: SparkSession, folder: str) -> DataFrame:
     yes = lambda part, of: (
         F.when(k % of == 0, F.lit(None).cast("string")).when(k % of == 1, "").when(k % of <= part, YES).otherwise(NO))
     touched = F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(F.lit(0), ((k * 7) % 40 - 2).cast("int"))
-    return table(spark, folder, "orders").select(
+    return [
         k.alias(v.LEAD_ID),
         F.col("o_custkey").alias("__cust"),
         phone_of("o_custkey").alias(v.PHONE),
@@ -59,7 +66,7 @@ def base(spark: SparkSession, folder: str) -> DataFrame:
         (k % 2).cast("int").alias("历史订单次数"),
         F.when(F.col("o_orderstatus") == "F", "已支付").when(F.col("o_orderstatus") == "P", "未支付").alias("意向金支付状态"),
         _cents(1).alias("p7"), _cents(7).alias("p14"), _cents(13).alias("p21"),
-    )
+    ]
 
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,20 +84,23 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def leads(spark: SparkSession, folder: str, *parts: str) -> DataFrame:
     """The lead view. ``parts``: "lines" (times, calls), "place" (channel, city), "car", "classes"."""
-    out = base(spark, folder)
-    if "lines" in parts or "car" in parts:
-        lines = _lines(spark, folder)
-        if "car" not in parts:
-            lines = lines.drop("__part")
-        out = out.join(lines, F.col(v.LEAD_ID) == F.col("l_orderkey"), "left").drop("l_orderkey")
+    out, more = table(spark, folder, "orders").select(*ORDER_COLUMNS), []
     if "place" in parts:
         customer = table(spark, folder, "customer").join(
             table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left"
         ).select(F.col("c_custkey"), F.col("c_mktsegment").alias("一级渠道名称"), F.col("n_name").alias(v.CITY))
-        out = out.join(customer, F.col("__cust") == F.col("c_custkey"), "left").drop("c_custkey")
+        out = out.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+        more = ["一级渠道名称", v.CITY]
+    if "lines" in parts or "car" in parts:
+        lines = _lines(spark, folder)
+        out = out.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        more = [c for c in lines.columns if c not in ("l_orderkey", "__part")] + more
     if "car" in parts:
         part = table(spark, folder, "part").select("p_partkey", F.col("p_brand").alias(v.CAR))
-        out = out.join(part, F.col("__part") == F.col("p_partkey"), "left").drop("p_partkey", "__part")
+        out = out.join(part, F.col("__part") == F.col("p_partkey"), "left")
+        more = [*more, v.CAR]
+    # The joins move the orders' own columns; what is derived from them is made behind the last one.
+    out = out.select(*_base_columns(), *more)
     if "classes" in parts:
         total = F.col("p7") + F.col("p14") + F.col("p21") + 0.001
         out = out.withColumns({"p_H": F.col("p7") / total, "p_A": F.col("p14") / total, "p_B": F.col("p21") / total})
