@@ -27,7 +27,7 @@ from showroom.sources.stores import read_sidecar, write_sidecar
 FOLDS = 5
 #: Rows of the overall share that every value starts with.
 STRENGTH = 10.0
-BREAK = "\x1f"
+BREAK, FOLD, CLASS = "\x1f", "__fold_of_row", "__class_of_row"
 
 
 def text_of(column: str) -> Column:
@@ -61,7 +61,8 @@ class TargetStatistics:
 
     def encode(self, df: DataFrame, training: bool = False, counts: str | None = None, prefix: str = "__s") -> DataFrame:
         """The rows with a column per text column and class; ``counts`` is the prefix of columns with the rows behind the shares."""
-        fold = fold_of(self.by, self.folds)
+        if training:
+            df = df.withColumn(FOLD, fold_of(self.by, self.folds))  # once a row, not once a look-up
         for i, column in enumerate(self.texts):
             n, shares = ("n_without", "shares_without") if training else ("n", "shares")
             found = self.table.where(F.col("feature") == i).select(
@@ -69,12 +70,12 @@ class TargetStatistics:
             df = df.join(found, text_of(column) == F.col(f"__value{i}"), "left")
             n, shares = F.col(f"__n_of{i}"), F.col(f"__shares{i}")
             if training:
-                n, shares = F.get(n, fold), F.get(shares, fold)
+                n, shares = F.get(n, F.col(FOLD)), F.get(shares, F.col(FOLD))
             new = {name: F.coalesce(F.get(shares, F.lit(c)), F.lit(self.prior[c])) for name, c in zip(self.names(i, prefix), self.told)}
             if counts is not None:
                 new[f"{counts}{i}"] = F.coalesce(n, F.lit(0).cast("bigint"))
             df = df.withColumns(new).drop(f"__value{i}", f"__n_of{i}", f"__shares{i}")
-        return df
+        return df.drop(FOLD)
 
     def save(self, spark: SparkSession, path: str) -> None:
         self.table.write.mode("overwrite").parquet(f"{path}/table")
@@ -106,7 +107,9 @@ def fit(
     texts, classes = list(texts), list(classes)
     of_class = named(label).cast("string")
     cells = F.explode(F.array(*[F.struct(F.lit(i).alias("feature"), text_of(c).alias("value")) for i, c in enumerate(texts)]))
-    known = rows.where(of_class.isin(classes)).select(of_class.alias("class"), fold_of(by, folds).alias("fold"), cells.alias("cell"))
+    # Class and fold are made before the explosion, once a row.
+    known = rows.where(of_class.isin(classes)).withColumns({CLASS: of_class, FOLD: fold_of(by, folds)})
+    known = known.select(F.col(CLASS).alias("class"), F.col(FOLD).alias("fold"), cells.alias("cell"))
     by_class = [F.count_if(F.col("class") == c) for c in classes]
     counted = hand_over(known.groupBy("cell.feature", "cell.value", "fold").agg(F.array(*by_class).alias("n")), "fold-counts")
 
