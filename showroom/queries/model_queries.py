@@ -21,9 +21,15 @@ def adapted(spark, folder):
     return leads(spark, folder, "lines", "place", "car").drop("二级渠道名称").transform(target_labels)
 
 
+@lru_cache(maxsize=4)
+def _stored(spark, folder):
+    """The adapted leads, joined and written once; splits, fits and scores read them many times."""
+    return hand_over(adapted(spark, folder), "adapted")
+
+
 @lru_cache(maxsize=4)
 def _prepared(spark, folder):
-    return tr.prepare(adapted(spark, folder))
+    return tr.prepare(_stored(spark, folder))
 
 
 @lru_cache(maxsize=4)
@@ -38,15 +44,22 @@ def _multiclass(spark, folder):
 
 WINDOW_TARGETS = {n: f"试驾标签_{n}天" for n in (7, 14, 21)}
 ORDER_TARGETS = {n: f"下订标签_{n}天" for n in (7, 14, 21)}
+ALL_TARGETS = [*WINDOW_TARGETS.values(), "到店标签_14天", *ORDER_TARGETS.values()]
 
 
 @lru_cache(maxsize=4)
-def _windows(spark, folder):
-    rows = hand_over(sp.time_split(adapted(spark, folder), "1999-01-01"), "windows")
-    parts = sp.parts(rows)
-    drive = tr.train_window_models(parts["train"], parts["test"], [*WINDOW_TARGETS.values(), "到店标签_14天"])
-    order = tr.train_window_models(parts["train"], parts["test"], list(ORDER_TARGETS.values()))
-    return parts, drive, order
+def _window_parts(spark, folder):
+    return sp.parts(sp.time_split(_stored(spark, folder), "1999-01-01"))
+
+
+@lru_cache(maxsize=28)
+def _window_model(spark, folder, target):
+    """The model of one window; a query fits those it reads, and no others."""
+    return tr.train(_window_parts(spark, folder)["train"], target)
+
+
+def _window_models(spark, folder, targets):
+    return {t: _window_model(spark, folder, t) for t in targets}
 
 
 @query("m2_class_weights", LEADS_SQL + """
@@ -90,8 +103,7 @@ def prepared_store(spark, folder):
 
 @query("m1_m4_binary_model")
 def binary_model(spark, folder):
-    parts, (models, _), _ = _windows(spark, folder)
-    scored = models["试驾标签_14天"].probabilities(parts["test"])
+    scored = _window_model(spark, folder, WINDOW_TARGETS[14]).probabilities(_window_parts(spark, folder)["test"])
     return tidy(scored.select(lead_id(), F.col("试驾标签_14天").alias("actual"), "p_0", "p_1"))
 
 
@@ -135,8 +147,7 @@ def dimension_contribution(spark, folder):
 
 @query("m8_m9_window_models")
 def window_models(spark, folder):
-    _, (_, drive), (_, order) = _windows(spark, folder)
-    return tidy(drive.unionByName(order))
+    return tidy(tr.window_metrics(_window_models(spark, folder, ALL_TARGETS), _window_parts(spark, folder)["test"]))
 
 
 @query("e2_top_lists_of_model")
@@ -172,11 +183,13 @@ def multiclass_policy(spark, folder):
 
 
 def _scored(spark, folder, mode):
-    _, (drive, _), (order, _) = _windows(spark, folder)
-    models = {
-        "model": drive["试驾标签_14天"], "drive": {n: drive[t] for n, t in WINDOW_TARGETS.items()},
-        "order": {n: order[t] for n, t in ORDER_TARGETS.items()}}
-    return scoring.score(adapted(spark, folder), mode, models)
+    """Each mode fits the models that it scores with."""
+    of = lambda targets: {n: _window_model(spark, folder, t) for n, t in targets.items()}
+    if mode == "simple":
+        models = {"model": _window_model(spark, folder, WINDOW_TARGETS[14])}
+    else:
+        models = {"drive": of(WINDOW_TARGETS)} | ({"order": of(ORDER_TARGETS)} if mode == "advanced" else {})
+    return scoring.score(_stored(spark, folder), mode, models)
 
 
 def _short(df):
@@ -208,7 +221,7 @@ def scored_stages(spark, folder):
 def model_validation(spark, folder):
     prep = _prepared(spark, folder)
     result = validation.validate(
-        adapted(spark, folder), prep.target, prep.info, prep.heat, _two_stage(spark, folder), _multiclass(spark, folder))
+        _stored(spark, folder), prep.target, prep.info, prep.heat, _two_stage(spark, folder), _multiclass(spark, folder))
     return tidy(result["comparison"].select("model_name", "role", "accuracy", "macro_f1", "b_recall", "delta_vs_baseline_macro_f1"))
 
 
@@ -244,16 +257,14 @@ def _shares(columns):
 
 @query("m1_m4_probabilities", LEADS_SQL + "SELECT id, TRUE AS fine FROM leads WHERE created >= TIMESTAMP '1999-01-01'")
 def binary_probabilities(spark, folder):
-    parts, (models, _), _ = _windows(spark, folder)
-    scored = models["试驾标签_14天"].probabilities(parts["test"])
+    scored = _window_model(spark, folder, WINDOW_TARGETS[14]).probabilities(_window_parts(spark, folder)["test"])
     return scored.select(F.col(v.LEAD_ID).alias("id"), _shares(["p_0", "p_1"]).alias("fine"))
 
 
 @query("m8_m9_probabilities", LEADS_SQL + "SELECT id, TRUE AS fine FROM leads WHERE created >= TIMESTAMP '1999-01-01'")
 def window_probabilities(spark, folder):
-    parts, (drive, _), (order, _) = _windows(spark, folder)
-    out, names = parts["test"], []
-    for i, model in enumerate([*drive.values(), *order.values()]):
+    out, names = _window_parts(spark, folder)["test"], []
+    for i, model in enumerate(_window_models(spark, folder, ALL_TARGETS).values()):
         out = model.positive(out, f"__p{i}")
         names.append(f"__p{i}")
     inside = F.forall(F.array(*names), lambda p: (p >= 0) & (p <= 1))
