@@ -7,7 +7,7 @@ document are below a step, later steps cannot change it and are left out; a docu
 
 Signatures are cut into bands; classes with an equal band are candidates. At the similarity asked for, a pair shares none of 25 bands of
 5 slots with a chance of 4 in ten million. Candidates are verified on their full sets, against pivots (see ``pivots``): no pair of one band is
-left out, and none but with pivots is formed. The texts of candidates, and no others, are read again for that. Links join trees of
+left out, and few but with pivots are formed. The texts of candidates, and no others, are read again for that. Links join trees of
 a union-find in each task; what remains is joined by alternating stars (see ``components``).
 
 Defined cases: a text with fewer words than a shingle is one shingle; null, empty and blank texts have none and link with nothing; a row
@@ -36,6 +36,8 @@ BANDS = 25
 ROWS = 5
 #: Pieces of the hash range in which sets are stored and compared.
 PIECES = 8
+#: Bits of a hash that choose a word of 64 bits in the table of texts that are read again: 262,144 words at most.
+WORD_BITS = 18
 #: Shingles whose permutations are held at once.
 BLOCK = 1 << 16
 
@@ -120,6 +122,14 @@ def _sets(shingle: int) -> Callable:
     return run
 
 
+def of_marks(docs: DataFrame, needed: DataFrame) -> DataFrame:
+    """``docs`` whose hash ``mark`` is in ``needed``. A bit table of bounded size is broadcast, so that few others have to move."""
+    word, bit = F.shiftrightunsigned("mark", 64 - WORD_BITS).alias("word"), "shiftleft(1L, cast(mark & 63 as int))"
+    words = written(needed.select(word, F.expr(bit).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")), "dedup-words")
+    maybe = docs.withColumn("word", word).join(F.broadcast(words), "word").where(f"bits & {bit} <> 0").drop("word", "bits")
+    return maybe.join(needed.distinct().hint("merge"), "mark")  # Spark would move a semi-join before the look-up in the table
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS,
 ) -> DataFrame:
@@ -140,7 +150,7 @@ def near_duplicates(
     buckets = written(join_heavy(keyed, common, "key", "rows").select("key", "cls"), "dedup-buckets")
 
     needed = classes.select("mark", F.col("sig").alias("cls")).join(buckets.select("cls").distinct(), "cls", "left_semi")
-    texts = docs.join(written(needed.select("mark"), "dedup-needed"), "mark", "left_semi").select("text")
+    texts = of_marks(docs, written(needed.select("mark"), "dedup-needed")).select("text")
     sets = texts.mapInArrow(_sets(shingle), "cls bigint, n bigint, pieces array<array<bigint>>").dropDuplicates(["cls"])
     sets = written(sets.select("cls", "n", F.posexplode("pieces").alias("piece", "part")), "dedup-sets")
     return with_component(known, classes, connected(buckets, sets, percent))

@@ -1,15 +1,18 @@
 """Links between sets of numbers that share a bucket, by comparison with pivots instead of all pairs.
 
-In each bucket one *pivot* is compared with all other members. Members that are in one component with each other need no more.
-For the others, x and y, the differences from their pivot decide: they link only if ``|x - y| <= k * (|x| + |y|)`` with ``k = (100 - t) / (100 + t)``,
-where ``x - y`` are the numbers in one of them only; and since ``|x - y| = |x - p| + |y - p| - 2 * (common differences from p)``, two members of
-different components have to share differences from the pivot: x at least ``(|x - p| - k * |x| + least of (|y - p| - k * |y|)) / 2``. So the
-differences are the n-grams of a smaller search of the same kind: of each member all but the most common ones that may be missed become
-new buckets (pivot, difference); buckets of the same members are one. In buckets of ``SMALL`` members or fewer each is compared with the others of
-other components, unless their distances from the pivot rule it out; larger ones get a pivot again. A bucket gets smaller with every
-round, at least by its pivot; rounds end when no large bucket is left.
-
-No pair inside a bucket is left out, and no member of a large bucket meets any other but its pivot.
+In each bucket one *pivot* is compared with all other members; most links come from that. All that hang together by buckets are a *cluster*, and all
+of it are compared with one more pivot, its *center*. Members x and y of a cluster that are in one component need no more. For the
+others the differences from the center decide: they link only if ``|x - y| <= k * (|x| + |y|)`` with ``k = (100 - t) / (100 + t)``,
+where ``x - y`` are the numbers in one of them only; and ``|x - y| = |x - p| + |y - p| - 2 * (common differences from p)``. So with
+``v = |x - p| - k * |x|`` they need ``(v of x + v of y) / 2`` common differences, one at least, as both would link with p otherwise. A
+difference that no other member has is common to no pair: with ``w = v - 2 * (differences that others have, too)`` a pair links only if ``v + w <= 0``
+both ways round. A member goes when that fails with the least ``v`` and ``w`` of all other components; what goes leaves others with more
+differences of their own. Near copies that are too far from their origin are mostly gone then, without any pair of them.
+
+The few that stay are paired where they share a difference. Common ones come last in the order of differences, and of those a member stands only in as many
+as leave enough behind them for a link. The pairs are decided by their common differences alone, which is exact.
+
+No pair inside a bucket is left out, nor one of a cluster.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from pyspark.sql import functions as F
 from showroom.llm.components import components
 from showroom.llm.shared import join_heavy, written
 
-#: Members of a bucket that are compared with each other, not with a pivot only.
+#: Open members around a center that are paired without looking at their differences.
 SMALL = 64
 
 
@@ -50,95 +53,110 @@ def forest(links: DataFrame) -> DataFrame:
     return links.mapInArrow(run, "a bigint, b bigint")
 
 
-def _beside(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """A row (a, b, na, nb, mine, part) for each of ``pairs`` (a, b) and each piece."""
-    left = pairs.join(sets.select(F.col("cls").alias("a"), F.col("n").alias("na"), "piece", F.col("part").alias("mine")), "a")
-    return left.join(sets.select(F.col("cls").alias("b"), F.col("n").alias("nb"), "piece", "part"), ["b", "piece"])
+def _pairwise(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows (a, b, center, na, nb, o, only) for each of ``pairs`` (a, b, center) and each piece: the size of the overlap and, of centers, what is in one of the two only.
 
+    Both meet by key at every size, so the work grows evenly.
+    """
+    left = pairs.join(sets.select(F.col("cls").alias("a"), F.col("n").alias("na"), "piece", F.col("part").alias("mine")).hint("merge"), "a")
+    both = left.join(sets.select(F.col("cls").alias("b"), F.col("n").alias("nb"), "piece", "part").hint("merge"), ["b", "piece"])
+    only = F.when(F.col("center"), F.concat(F.array_except("mine", "part"), F.array_except("part", "mine")))
+    return both.select("a", "b", "center", "piece", "na", "nb", F.size(F.array_intersect("mine", "part")).alias("o"), only.alias("only"))
 
-def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Rows (a, b, na, nb, o, only) for each of ``pairs`` (a, b) and each piece: the size of the overlap, and what is in one of the two only."""
-    both = _beside(pairs, sets)
-    only = F.concat(F.array_except("mine", "part"), F.array_except("part", "mine"))
-    return both.select("a", "b", "na", "nb", F.size(F.array_intersect("mine", "part")).alias("o"), only.alias("only"))
 
+def _stars(buckets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (a, b) of members and the pivots of their buckets, and rows (cls, weight): how many members a class meets in its buckets.
 
-def _pivots(members: DataFrame) -> DataFrame:
-    """Rows (key, rows, b) of buckets of several components: the pivot is of the smallest component there, and the first of it by turn and length."""
-    groups = members.groupBy("key", "comp").agg(F.count("*").alias("rows"), F.min(F.struct("turn", "n", "cls")).alias("m"))
-    found = groups.groupBy("key").agg(F.count("*").alias("c"), F.sum("rows").alias("rows"), F.min(F.struct("rows", "m")).alias("p"))
-    return found.where("c > 1").select("key", "rows", F.col("p.m.cls").alias("b"))
+    The pivot of a bucket is its member of the greatest weight, so buckets of one group mostly have one pivot, from the middle of it.
+    """
+    rows = buckets.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1")
+    rows = written(join_heavy(buckets.select("key", "cls"), rows, "key", "rows").select("key", "cls", "rows"), "bucket-rows")
+    weight = written(rows.groupBy("cls").agg(F.sum("rows").alias("weight")), "bucket-weights")
+    pivots = rows.join(weight, "cls").groupBy("key").agg(F.max("rows").alias("rows"), F.max(F.struct("weight", "cls")).alias("p"))
+    pivots = pivots.select("key", "rows", F.col("p.cls").alias("b"))
+    stars = join_heavy(rows.select("key", "cls"), pivots, "key", "rows").where("cls <> b").select(F.col("cls").alias("a"), "b")
+    return written(stars.distinct(), "bucket-stars"), weight
 
 
-def _open(pairs: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
-    """Rows (b, a, comp, n, d, v, size, closest): the members around a pivot that can link with one of another component there.
+def _centers(stars: DataFrame, weight: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows (a, b) of the members and the center of each cluster: all that hang together by ``stars``.
 
-    ``d`` is the distance from the pivot. Two members are as far apart as their distances differ, at least; so with ``v = d - k * n`` and
-    ``w = d + k * n`` (times 100 + percent), x can link with y only if ``v`` of x is at most ``w`` of y, and the other way round.
+    The center has at most twice the numbers of an average member, so differences from it are at most three times as many as the numbers of all.
     """
-    most, k = 100 + percent, 100 - percent
-    named = pairs.join(joined.select(F.col("node").alias("a"), "component"), "a", "left").withColumn("comp", F.coalesce("component", "a"))
-    named = named.withColumn("d", F.expr("na + nb - 2 * o")).select(
-        "b", "a", "comp", F.col("na").alias("n"), "d", F.expr(f"{most} * d - {k} * na").alias("v"), F.expr(f"{most} * d + {k} * na").alias("w"))
-    groups = named.groupBy("b", "comp").agg(F.max("w").alias("w"), F.min("v").alias("v"))
-    first = groups.groupBy("b").agg(F.count("*").alias("c"), F.max(F.struct("w", "comp")).alias("far"), F.min(F.struct("v", "comp")).alias("near")).where("c > 1")
-    # Of the other components than those of the extremes.
-    rest = groups.join(first, "b").groupBy("b").agg(
-        F.first("far").alias("far"), F.first("near").alias("near"),
-        F.max(F.when(F.col("comp") != F.col("far.comp"), F.col("w"))).alias("far2"), F.min(F.when(F.col("comp") != F.col("near.comp"), F.col("v"))).alias("near2"))
-    fits = "v <= IF(comp = far.comp, far2, far.w) AND w >= IF(comp = near.comp, near2, near.v)"
-    kept = written(named.join(rest, "b").where(fits).select("b", "a", "comp", "n", "d", "v"), "open-members")
-    sizes = kept.groupBy("b").agg(F.count("*").alias("size"), F.min("v").alias("closest"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    return written(kept.join(sizes.drop("lo", "hi"), "b"), "open-groups")
-
-
-def _closer(pairs: DataFrame, parts: DataFrame, joined: DataFrame, percent: int) -> DataFrame | None:
-    """The buckets (key, cls, comp, n, d, size) in which pairs of different components can still link, or None."""
-    open_ = _open(pairs, joined, percent)
-    if open_.isEmpty():
-        return None
-    small = open_.where(F.col("size") <= SMALL).select(F.col("b").alias("key"), F.col("a").alias("cls"), "comp", "n", "d", "size")
-    least = F.expr(f"greatest(1, ceil((v + closest) / {2 * (100 + percent)}))")
-    large = open_.where(F.col("size") > SMALL).select("a", "b", "comp", "n", "d", least.alias("least"))
+    hanging = written(components(forest(stars)).select(F.col("node").alias("cls"), F.col("component").alias("key")), "cluster-members")
+    sizes = sets.where("piece = 0").select("cls", "n")
+    named = written(hanging.join(sizes, "cls").join(weight, "cls"), "cluster-sizes")
+    means = named.groupBy("key").agg(F.count("*").alias("rows"), F.avg("n").alias("mean"))
+    fit = join_heavy(named, means.where("rows > 2"), "key", "rows").where("n <= 2 * mean")
+    centers = fit.groupBy("key").agg(F.max(F.struct("weight", "cls")).alias("p"), F.max("rows").alias("rows")).select("key", "rows", F.col("p.cls").alias("b"))
+    return join_heavy(hanging, centers, "key", "rows").where("cls <> b").select(F.col("cls").alias("a"), "b")
+
+
+def _least_of_others(members: DataFrame) -> DataFrame:
+    """``members`` (b, a, comp, v, w, …) of centers around which are several components, with the least ``v`` and ``w`` in other components than their own."""
+    groups = written(members.groupBy("b", "comp").agg(F.count("*").alias("rows"), F.min("v").alias("v"), F.min("w").alias("w")), "open-components")
+    first = groups.groupBy("b").agg(
+        F.sum("rows").alias("rows"), F.count("*").alias("c"), F.min(F.struct("v", "comp")).alias("v1"), F.min(F.struct("w", "comp")).alias("w1")).where("c > 1")
+    second = groups.select("b", "comp", "v", "w").join(first, "b").groupBy("b").agg(
+        F.max("rows").alias("rows"), F.first("v1").alias("v1"), F.first("w1").alias("w1"),
+        F.min(F.when(F.col("comp") != F.col("v1.comp"), F.col("v"))).alias("v2"), F.min(F.when(F.col("comp") != F.col("w1.comp"), F.col("w"))).alias("w2"))
+    found = join_heavy(members, second, "b", "rows")
+    return found.withColumn("v_other", F.expr("IF(comp = v1.comp, v2, v1.v)")).withColumn("w_other", F.expr("IF(comp = w1.comp, w2, w1.w)")).drop(
+        "v1", "v2", "w1", "w2", "rows")
+
+
+def _open(members: DataFrame, percent: int) -> DataFrame:
+    """The ``members`` (b, a, comp, n, d, lone) that can link with one of another component around their center, with ``least``, the fewest differences it takes to have in common."""
+    twice = 2 * (100 + percent)
+    named = members.select("b", "a", "comp", "n", "d", "lone").withColumn("v", F.expr(f"{100 + percent} * d - {100 - percent} * n"))
+    named = _least_of_others(named.withColumn("w", F.expr(f"v - {twice} * (d - lone)")))
+    kept = named.where("v + w_other <= 0 AND w + v_other <= 0")
+    return written(kept.withColumn("least", F.expr(f"greatest(1, ceil((v + v_other) / {twice}))")).drop("v_other", "w_other"), "open-members")
+
+
+def _differences(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """Rows (b, a, item) of the differences of ``members`` from their center."""
+    return members.select("a").join(parts, "a").select("b", "a", F.explode("only").alias("item"))
+
+
+def _still_open(members: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """``_open`` with the differences that no other open member has (``lone``) counted, again while a tenth of the members goes."""
+    open_ = _open(members.withColumn("lone", F.lit(0).cast("bigint")), percent)
+    count = open_.count()
+    while count:
+        lone = _differences(open_, parts).groupBy("b", "item").agg(F.count("*").alias("c"), F.min("a").alias("a")).where("c = 1")
+        lone = written(lone.groupBy("a").agg(F.count("*").alias("lone")), "open-lone")
+        open_ = _open(open_.drop("lone").join(lone, "a", "left").fillna(0, ["lone"]), percent)
+        before, count = count, open_.count()
+        if 10 * count > 9 * before:
+            break
+    return open_
+
+
+def _pairs(open_: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """Rows (a, b, d, n) of the open members of different components that can link: the sums of their distances from the center and of their sizes.
+
+    Around centers of more than ``SMALL`` they share one of the differences that are first by frequency and leave enough behind it.
+    """
+    sizes = open_.groupBy("b").agg(F.count("*").alias("rows"))
+    open_ = written(join_heavy(open_, sizes, "b", "rows"), "open-sizes")
+    twice = 2 * (100 + percent)
+    two = [F.col("x.a").alias("a"), F.col("y.a").alias("b"), F.expr("x.d + y.d").alias("d"), F.expr("x.n + y.n").alias("n")]
+    differ = "x.a < y.a AND x.comp <> y.comp AND x.v + y.w <= 0 AND y.v + x.w <= 0"
+    small, large = open_.where(F.col("rows") <= SMALL), open_.where(F.col("rows") > SMALL)
+    pairs = small.alias("x").join(small.alias("y"), F.expr(f"x.b = y.b AND {differ}")).select(*two)
     if large.isEmpty():
-        return small
-    items = parts.join(large.select("a", "b", "comp", "least"), ["a", "b"]).select("b", "a", "comp", "least", F.explode("only").alias("item"))
-    items = written(items, "open-differences")
+        return pairs
+    items = written(_differences(large, parts).join(large.select("a", "comp"), "a"), "open-differences")
     counts = items.groupBy("b", "item").agg(F.count("*").alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    shared = items.join(counts.select("b", "item", "c"), ["b", "item"])
-    mine = Window.partitionBy("b", "a")
+    shared = items.select("b", "item", "a").join(written(counts.select("b", "item", "c"), "open-counts"), ["b", "item"])
+    mine = Window.partitionBy("a")
     ranked = shared.withColumn("place", F.row_number().over(mine.orderBy("c", "item"))).withColumn("all", F.count("*").over(mine))
-    rare = written(ranked.where("place <= all - least + 1").select("b", "item", "a", "comp"), "open-items")
-    # Buckets of one pivot and the same members are one.
-    same = rare.groupBy("b", "item").agg(
-        F.count("*").alias("size"), F.bit_xor(F.xxhash64("a")).alias("x"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    same = same.groupBy(F.xxhash64("b", "size", "x").alias("key")).agg(F.max("size").alias("size"), F.min(F.struct("b", "item")).alias("first"))
-    same = same.select("key", "size", "first.b", "first.item")
-    members = rare.join(same, ["b", "item"]).join(large.select("a", "b", "n", "d"), ["a", "b"])
-    return written(small.unionByName(members.select("key", F.col("a").alias("cls"), "comp", "n", "d", "size")), "open-buckets")
-
-
-def _within(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components in small buckets; those whose distances from the pivot differ too much cannot link."""
-    small = members.where(F.col("size") <= SMALL)
-    one, other = small.alias("x"), small.alias("y")
-    near = f"x.key = y.key AND x.cls < y.cls AND x.comp <> y.comp AND {100 + percent} * abs(x.d - y.d) <= {100 - percent} * (x.n + y.n)"
-    return one.join(other, F.expr(near)).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
-
-
-def _clusters(buckets: DataFrame, sets: DataFrame) -> DataFrame:
-    """One bucket (key, cls, comp, n, turn) for all that hang together by buckets, so that a class has one pivot, not one for each of its buckets.
-
-    The pivot comes from the largest of these buckets: ``turn`` is the lowest for it.
-    """
-    first = buckets.groupBy("key").agg(F.count("*").alias("rows"), F.min("cls").alias("b")).where("rows > 1")
-    stars = join_heavy(buckets.select("key", "cls"), first, "key", "rows").where("cls <> b").select(F.col("cls").alias("a"), "b")
-    hanging = components(forest(written(stars.distinct(), "bucket-stars")))
-    sizes = sets.where("piece = 0").select(F.col("cls").alias("node"), "n")
-    often = first.groupBy(F.col("b").alias("node")).agg((-F.max("rows")).alias("turn"))
-    named = hanging.join(sizes, "node").join(often, "node", "left").select(
-        F.col("component").alias("key"), F.col("node").alias("cls"), F.col("node").alias("comp"), "n", F.coalesce("turn", F.lit(0)).alias("turn"))
-    return written(named, "bucket-clusters")
+    first = ranked.withColumn("after", F.expr("all - place + 1")).select("item", "a", "after")
+    first = written(first.join(large, "a").where("after >= least"), "open-items")
+    reaches = f"x.v + y.v <= {twice} * least(x.after, y.after)"
+    met = first.alias("x").join(first.alias("y"), F.expr(f"x.b = y.b AND x.item = y.item AND {differ} AND {reaches}")).select(*two)
+    return pairs.union(met.distinct())
 
 
 def connected(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -147,26 +165,25 @@ def connected(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ``sets`` has the distinct numbers of a class as rows (cls, n, piece, part): their number, and for each piece of their range those in it.
     Classes link when ``100 * common >= percent * union``.
     """
-    linked = f"100 * o >= {percent} * (na + nb - o)"
+    stars, weight = _stars(buckets)
+    both = stars.withColumn("center", F.lit(False)).union(_centers(stars, weight, sets).withColumn("center", F.lit(True)))
+    near = written(both.groupBy("a", "b").agg(F.max("center").alias("center")), "pivot-near")
+    parts = written(_pairwise(near, sets), "pivot-parts")
     sums = [F.max("na").alias("na"), F.max("nb").alias("nb"), F.sum("o").alias("o")]
-    large, found = _clusters(buckets, sets), None
-    links = done = None
-    while True:
-        if large is not None:
-            near = join_heavy(large.select("key", "cls"), _pivots(large), "key", "rows").where("cls <> b").select(F.col("cls").alias("a"), "b").distinct()
-            parts = written(compared(near, sets), "pivot-parts")
-            pairs = written(parts.groupBy("a", "b").agg(*sums), "pivot-pairs")
-            found = pairs if found is None else found.unionByName(pairs)
-        new = forest(found.where(linked).select("a", "b"))
-        links = written(new if links is None else links.union(new), "pivot-links")
-        joined = components(links)
-        members = None if large is None else _closer(pairs, parts, joined, percent)
-        if members is None:
-            return joined
-        tested = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        done = written(tested if done is None else done.union(tested), "pivot-done")
-        inside = _within(members, percent).join(done, ["a", "b"], "left_anti")
-        inside = _beside(written(inside, "pivot-inside"), sets).withColumn("o", F.size(F.array_intersect("mine", "part")))
-        found = written(inside.groupBy("a", "b").agg(*sums), "pivot-inside-pairs")
-        large = members.where(F.col("size") > SMALL).withColumn("turn", F.lit(0))
-        large = None if large.isEmpty() else large
+    pairs = written(parts.groupBy("a", "b", "center").agg(*sums), "pivot-pairs")
+    links = written(forest(pairs.where(f"100 * o >= {percent} * (na + nb - o)").select("a", "b")), "pivot-links")
+    joined = written(components(links), "pivot-components")
+
+    members = pairs.where("center").join(joined.select(F.col("node").alias("a"), "component"), "a", "left")
+    members = members.select("b", "a", F.coalesce("component", "a").alias("comp"), F.col("na").alias("n"), F.expr("na + nb - 2 * o").alias("d"))
+    members = written(members, "center-members")
+    parts = parts.where("center").select("b", "a", "piece", "only")
+    open_ = _still_open(members, parts, percent)
+    if open_.isEmpty():
+        return joined
+    parts = written(parts.join(open_.select("a"), "a", "left_semi").select("a", "piece", "only"), "open-parts")
+    beside = written(_pairs(open_, parts.join(open_.select("a", "b"), "a"), percent), "open-pairs").join(parts.withColumnRenamed("only", "mine"), "a")
+    beside = beside.join(parts.withColumnRenamed("a", "b"), ["b", "piece"])
+    common = beside.groupBy("a", "b", "d", "n").agg(F.sum(F.size(F.array_intersect("mine", "only"))).alias("c"))
+    more = common.where(f"{100 + percent} * (d - 2 * c) <= {100 - percent} * n").select("a", "b")
+    return components(forest(links.union(more)))

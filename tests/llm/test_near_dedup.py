@@ -103,6 +103,32 @@ def test_pivots_leave_no_pair_of_a_bucket_out(spark, make, seed, monkeypatch):
     assert {c: got.get(c, c) for c in sets} == want and len(set(want.values())) < len(sets)
 
 
+def test_far_copies_of_one_origin_are_not_paired(make, monkeypatch):
+    """Half of the copies link with the origin, the others with none, and all share what they lack: the tables of pairs stay as small as the group, not its square."""
+    pick, rows = random.Random(3), {}
+    core = list(range(100))
+    sets = {c: set(core) - set(pick.sample(core, k)) | set(range(1000 * c, 1000 * c + k)) for c in range(1, 301) for k in [4 if c % 2 else 12]} | {0: set(core)}
+
+    def counted(df, name, write=pivots.written):
+        out = write(df, name)
+        if {"a", "b"} <= set(df.columns) and not {"only", "item"} & set(df.columns):
+            rows[name] = max(rows.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(pivots, "written", counted)
+    parts = [(c, len(s), p, sorted(x for x in s if x % 4 == p)) for c, s in sets.items() for p in range(4)]
+    found = connected(make([(1, c) for c in sets] + [(2, 0), (2, 1), (3, 0), (3, 2)], "key bigint, cls bigint"), make(parts, "cls bigint, n bigint, piece int, part array<bigint>"), 85)
+    assert found.count() == 151
+    assert rows and max(rows.values()) <= 2 * len(sets), rows
+
+
+def test_texts_are_read_by_mark(make):
+    docs = make([(i, i * 2**54 - 2**63 + i, f"text {i}") for i in range(1000)], "doc_id bigint, mark bigint, text string")
+    needed = docs.where("doc_id % 7 = 3").select("mark")
+    found = nd.of_marks(docs, needed.union(needed.limit(5)))
+    assert sorted(r["doc_id"] for r in found.collect()) == list(range(3, 1000, 7))
+
+
 def test_forest_joins_the_same(make):
     pick = random.Random(1)
     links = [(pick.randrange(200), pick.randrange(200)) for _ in range(600)]
