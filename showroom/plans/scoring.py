@@ -14,7 +14,7 @@ from showroom.functions.ratings import add_rating
 from showroom.functions.status import is_driven
 from showroom.operators import contract as ct, features as ft
 from showroom.operators.ranking import K_VALUES, resolve_score, top_list
-from showroom.plans.training import LeadModel
+from showroom.plans.training import LeadModel, add_positives
 from showroom.session import hand_over
 from showroom.sources.writers import write_delimited
 
@@ -33,28 +33,31 @@ def _feature_rows(df: DataFrame, heat: DataFrame | None) -> DataFrame:
     return out.withColumns(new) if new else out
 
 
-def _add_probability(df: DataFrame, model: LeadModel | None, name: str, when_missing: float | None = None) -> DataFrame:
-    """Positive probability of one model; no model gives 0, missing features give the default."""
-    if model is None:
-        return df.withColumn(name, F.lit(0.0))
-    lacking = [c for c in model.features if c not in df.columns]
-    if lacking and when_missing is not None:
-        log.warning("%s lacks %d features; the probability is set to %s", name, len(lacking), when_missing)
-        return df.withColumn(name, F.lit(when_missing))
-    return model.positive(df, name)
+def _add_probabilities(df: DataFrame, models: dict[str, LeadModel | None], when_missing: float | None = None) -> DataFrame:
+    """Positive probabilities of models by the names of their columns; no model gives 0, missing features give the default."""
+    fixed, usable = {}, {}
+    for name, model in models.items():
+        lacking = [c for c in model.features if c not in df.columns] if model is not None else []
+        if model is None:
+            fixed[name] = F.lit(0.0)
+        elif lacking and when_missing is not None:
+            log.warning("%s lacks %d features; the probability is set to %s", name, len(lacking), when_missing)
+            fixed[name] = F.lit(when_missing)
+        else:
+            usable[name] = model
+    out = add_positives(df, usable)
+    return out.withColumns(fixed) if fixed else out
 
 
 def score_simple(df: DataFrame, model: LeadModel, heat: DataFrame | None = None, thresholds: dict | None = None) -> DataFrame:
-    out = _add_probability(_feature_rows(df, heat), model, "__p14")
+    out = _add_probabilities(_feature_rows(df, heat), {"__p14": model})
     return add_rating(out, "simple", {14: F.col("__p14")}, thresholds=thresholds).drop("__p14")
 
 
 def score_medium(
     df: DataFrame, models: dict[int, LeadModel], heat: DataFrame | None = None, thresholds: dict | None = None
 ) -> DataFrame:
-    out = _feature_rows(df, heat)
-    for n in WINDOWS:
-        out = _add_probability(out, models.get(n), f"__p{n}")
+    out = _add_probabilities(_feature_rows(df, heat), {f"__p{n}": models.get(n) for n in WINDOWS})
     drive = {n: F.col(f"__p{n}") for n in WINDOWS}
     return add_rating(out, "medium", drive, thresholds=thresholds).drop(*[f"__p{n}" for n in WINDOWS])
 
@@ -68,9 +71,7 @@ def score_advanced(
     marked = hand_over(df.withColumn("__driven", is_driven(df)), "to-score")
 
     def branch(rows: DataFrame, models: dict[int, LeadModel], used: str, unused: str, fitted, default) -> DataFrame:
-        out = _feature_rows(rows, fitted)
-        for n in WINDOWS:
-            out = _add_probability(out, models.get(n), f"__{used}{n}", default)
+        out = _add_probabilities(_feature_rows(rows, fitted), {f"__{used}{n}": models.get(n) for n in WINDOWS}, default)
         return out.withColumns({f"__{unused}{n}": F.lit(0.0) for n in WINDOWS})
 
     before = branch(marked.where(~F.col("__driven")), drive_models, "d", "o", heat, None)

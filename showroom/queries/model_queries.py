@@ -52,14 +52,22 @@ def _window_parts(spark, folder):
     return sp.parts(sp.time_split(_stored(spark, folder), "1999-01-01"))
 
 
-@lru_cache(maxsize=28)
-def _window_model(spark, folder, target):
-    """The model of one window; a query fits those it reads, and no others."""
-    return tr.train(_window_parts(spark, folder)["train"], target)
+@lru_cache(maxsize=4)
+def _fits(spark, folder):
+    return {}
 
 
 def _window_models(spark, folder, targets):
-    return {t: _window_model(spark, folder, t) for t in targets}
+    """The models of windows; a query fits those it reads, in the same passes, and no others."""
+    known, rows = _fits(spark, folder), _window_parts(spark, folder)["train"]
+    missing = [t for t in targets if t not in known]
+    together = tr.BoostedFits(rows, missing)
+    known |= {t: tr.train(rows, t, together=together) for t in missing}
+    return {t: known[t] for t in targets}
+
+
+def _window_model(spark, folder, target):
+    return _window_models(spark, folder, [target])[target]
 
 
 @query("m2_class_weights", LEADS_SQL + """
@@ -184,11 +192,12 @@ def multiclass_policy(spark, folder):
 
 def _scored(spark, folder, mode):
     """Each mode fits the models that it scores with."""
-    of = lambda targets: {n: _window_model(spark, folder, t) for n, t in targets.items()}
     if mode == "simple":
         models = {"model": _window_model(spark, folder, WINDOW_TARGETS[14])}
     else:
-        models = {"drive": of(WINDOW_TARGETS)} | ({"order": of(ORDER_TARGETS)} if mode == "advanced" else {})
+        used = {"drive": WINDOW_TARGETS} | ({"order": ORDER_TARGETS} if mode == "advanced" else {})
+        fitted = _window_models(spark, folder, [t for targets in used.values() for t in targets.values()])
+        models = {kind: {n: fitted[t] for n, t in targets.items()} for kind, targets in used.items()}
     return scoring.score(_stored(spark, folder), mode, models)
 
 
