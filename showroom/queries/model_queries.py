@@ -272,11 +272,9 @@ def binary_probabilities(spark, folder):
 
 @query("m8_m9_probabilities", LEADS_SQL + "SELECT id, TRUE AS fine FROM leads WHERE created >= TIMESTAMP '1999-01-01'")
 def window_probabilities(spark, folder):
-    out, names = _window_parts(spark, folder)["test"], []
-    for i, model in enumerate(_window_models(spark, folder, ALL_TARGETS).values()):
-        out = model.positive(out, f"__p{i}")
-        names.append(f"__p{i}")
-    inside = F.forall(F.array(*names), lambda p: (p >= 0) & (p <= 1))
+    models = {f"__p{i}": model for i, model in enumerate(_window_models(spark, folder, ALL_TARGETS).values())}
+    out = tr.add_positives(_window_parts(spark, folder)["test"], models)
+    inside = F.forall(F.array(*models), lambda p: (p >= 0) & (p <= 1))
     return out.select(F.col(v.LEAD_ID).alias("id"), F.coalesce(inside, F.lit(False)).alias("fine"))
 
 

@@ -30,3 +30,10 @@ def test_stages_need_one_fit(spark, fits):
 def test_window_models_need_one_fit(spark, fits):
     rows = mq.window_models(spark, folder(12)).collect()
     assert fits == [7] and {r["target"] for r in rows} == set(mq.ALL_TARGETS)
+
+
+def test_probabilities_need_one_fit_and_one_look_up_a_text(spark, fits):
+    out = mq.window_probabilities(spark, folder(13))
+    assert fits == [7]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 8  # text columns; 56 with a look-up for each model
+    assert out.where("fine").count() == mq._window_parts(spark, folder(13))["test"].count()
